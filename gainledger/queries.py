@@ -7,6 +7,7 @@ another engine's result can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 
@@ -152,6 +153,12 @@ def close_value(inputs: Inputs) -> DataFrame:
     return rows.filter(F.col("end_bal").isNotNull())
 
 
+def top_holders_at_end(inputs: Inputs) -> DataFrame:
+    """The ranking on the last day, when most securities have many owners."""
+    last = Inputs(inputs.tables, replace(inputs.scope, start=END))
+    return top_holders(owner_holdings(last, PER_SECURITY))
+
+
 def listed_universe(tables: StarTables) -> DataFrame:
     items = distinct_items(tables.table("security_list"))
     return universe.listed_shares(tables.table("sec_info"), START, EXCHANGES, items)
@@ -250,7 +257,7 @@ QUERIES: dict[str, Query] = {
     "q_class_asof": on_inputs(classes_at_end),
     "q_flag_executive": on_inputs(executives),
     "q_flag_lockup": on_inputs(unlocked_holders),
-    "q_top10_holder": on_inputs(lambda i: top_holders(owner_holdings(i, PER_SECURITY))),
+    "q_top10_holder": on_inputs(top_holders_at_end),
     "q_flag_top10_literal": on_inputs(top_holder_flags),
     "q_biz_pivot": on_ledger(biz_pivot),
     "q_commission": on_ledger(commissions),
