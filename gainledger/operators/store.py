@@ -5,7 +5,10 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,6 +46,18 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def store_all(self, makers: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Store tables that do not depend on each other side by side.
+
+        The cluster then works on one table while another waits for its last tasks or its commit.
+        """
+        with ThreadPoolExecutor(max_workers=len(makers)) as pool:
+            running = {
+                name: pool.submit(inheritable_thread_target(self.spark)(lambda n, m: self.store(m(), n)), name, make)
+                for name, make in makers.items()
+            }
+            return {name: job.result() for name, job in running.items()}
+
 
 def replace_slice(df: DataFrame, root: str, **slice_of: str) -> str:
     """Replace one partition directory of a result table; returns its path.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,28 +36,36 @@ def with_shared_sets(inputs: Inputs, work: Workspace, exchanges: list[str]) -> I
     Quotes, transfer lines and changes are summed to days; holdings are reduced to the days
     that any rule or boundary asks for.
     """
+    universe_sets = work.store_all(
+        {"accounts": lambda: inputs.scope.accounts, "instruments": lambda: inputs.scope.instruments}
+    )
     scope = replace(
-        inputs.scope,
-        accounts=broadcast_if_small(work.store(inputs.scope.accounts, "accounts")),
-        instruments=broadcast_if_small(work.store(inputs.scope.instruments, "instruments")),
+        inputs.scope, **{name: broadcast_if_small(df) for name, df in universe_sets.items()}
     )
-    shared: dict[str, DataFrame] = {}
-    step = Inputs(inputs.tables, scope, shared)
-    quotes = work.store(period_quotes(inputs.tables, scope), "quotes")
-    shared["quotes"] = broadcast_if_small(quotes)
-    shared["bounds"] = broadcast_if_small(work.store(quote_bounds(quotes), "bounds"))
+    step = Inputs(inputs.tables, scope)
+    makers = {
+        "quotes": lambda: period_quotes(inputs.tables, scope),
+        "event_asks": lambda: event_asks(step, exchanges),
+    }
     if EXCHANGE_0 in exchanges:
-        shared["transfer_lines"] = work.store(sse.daily_transfer_lines(step), "transfer_lines")
+        makers["transfer_lines"] = lambda: sse.daily_transfer_lines(step)
     if EXCHANGE_1 in exchanges:
-        shared["changes"] = work.store(szse.daily_changes(step), "changes")
-    events = [
-        make(step).select(F.lit(exch).alias("exch"), "sec_cde", "ask_date")
+        makers["changes"] = lambda: szse.daily_changes(step)
+    shared = work.store_all(makers)
+    shared["quotes"] = broadcast_if_small(shared["quotes"])
+    shared["bounds"] = broadcast_if_small(work.store(quote_bounds(shared["quotes"]), "bounds"))
+    asks = shared.pop("event_asks").unionByName(boundary_asks(shared["bounds"]))
+    shared["held"] = work.store(scope_holdings(inputs.tables, scope, asks), "held")
+    return Inputs(inputs.tables, scope, shared)
+
+
+def event_asks(inputs: Inputs, exchanges: list[str]) -> DataFrame:
+    """The (exch, sec_cde, ask_date) at which the rules look up holdings."""
+    return union_all(
+        make(inputs).select(F.lit(exch).alias("exch"), "sec_cde", "ask_date")
         for exch in exchanges
         for make in RULE_SETS[exch].HOLDING_EVENTS
-    ]
-    asks = work.store(union_all([*events, boundary_asks(shared["bounds"])]).distinct(), "asks")
-    shared["held"] = work.store(scope_holdings(inputs.tables, scope, asks), "held")
-    return step
+    ).distinct()
 
 
 def flow_rows(inputs: Inputs, exch: str) -> DataFrame:
@@ -66,8 +74,13 @@ def flow_rows(inputs: Inputs, exch: str) -> DataFrame:
 
 
 def ledger_of(inputs: Inputs, work: Workspace, exchanges: list[str]) -> DataFrame:
-    """The whole ledger: stored flows plus the gap rows that follow from them."""
-    flows = work.store(union_all(flow_rows(inputs, exch) for exch in exchanges), "flows")
+    """The whole ledger: stored flows plus the gap rows that follow from them.
+
+    One write per exchange: the planner re-plans a running query after each of its stages, so
+    two unions of ten rules cost less than one of twenty.
+    """
+    stored = work.store_all({f"flows_{exch}": partial(flow_rows, inputs, exch) for exch in exchanges})
+    flows = union_all(stored.values())
     gaps = [holding_gap(inputs, flows, exch) for exch in exchanges]
     return union_all([flows, *gaps]).select(*LEDGER_COLUMNS)
 

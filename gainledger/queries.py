@@ -34,6 +34,7 @@ from .plans.report import (
     unlocked_holders,
 )
 from .plans.valuation import (
+    GAP,
     PAIR,
     boundary_asks,
     boundary_values,
@@ -72,11 +73,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def inputs_of(spark: SparkSession, folder: str) -> Inputs:
+def inputs_of(spark: SparkSession, folder: str, exchanges: list[str] = EXCHANGES) -> Inputs:
     """All accounts open after the start and all A-shares, as one run's inputs."""
     tables = StarTables(spark, folder)
     info = tables.table("sec_info")
-    codes = universe.all_shares(info, START, EXCHANGES)
+    codes = universe.all_shares(info, START, exchanges)
     accounts = tables.table("intg_sec_acct").filter(F.col("e_date") > F.lit(START))
     scope = Scope(
         BATCH,
@@ -88,11 +89,13 @@ def inputs_of(spark: SparkSession, folder: str) -> Inputs:
     return Inputs(tables, scope)
 
 
-def _with_ledger(spark: SparkSession, folder: str) -> tuple[Inputs, DataFrame]:
+def _with_ledger(
+    spark: SparkSession, folder: str, exchanges: list[str] = EXCHANGES
+) -> tuple[Inputs, DataFrame]:
     """A run's inputs with stored shared sets, and its whole ledger."""
     work = Workspace(spark)
-    inputs = with_shared_sets(inputs_of(spark, folder), work, EXCHANGES)
-    return inputs, work.store(ledger_of(inputs, work, EXCHANGES), "ledger")
+    inputs = with_shared_sets(inputs_of(spark, folder, exchanges), work, exchanges)
+    return inputs, ledger_of(inputs, work, exchanges)
 
 
 def rule_query(rule: Callable[[Inputs], DataFrame]) -> Query:
@@ -101,8 +104,8 @@ def rule_query(rule: Callable[[Inputs], DataFrame]) -> Query:
 
 def gap_query(exch: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        _, ledger = _with_ledger(spark, folder)
-        return plain(ledger.filter((F.col("biz_type") == "9999") & (F.col("exch") == exch)))
+        _, ledger = _with_ledger(spark, folder, [exch])
+        return plain(ledger.filter(F.col("biz_type") == GAP))
 
     return query
 
