@@ -105,7 +105,7 @@ def rule_query(rule: Callable[[Inputs], DataFrame]) -> Query:
 def gap_query(exch: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         _, ledger = _with_ledger(spark, folder, [exch])
-        return plain(ledger.filter(F.col("biz_type") == GAP))
+        return plain(ledger.filter((F.col("biz_type") == GAP) & (F.col("exch") == exch)))
 
     return query
 
