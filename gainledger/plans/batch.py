@@ -30,27 +30,33 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 # --- shared sets and the ledger -----------------------------------------------------------
 
 
+def stored_scope(scope: Scope, work: Workspace) -> Scope:
+    """The scope with its universes written out and counted.
+
+    Both take part in every rule. Written once they are not derived again in each plan, and
+    their counted size decides whether they are broadcast.
+    """
+    stored = work.store_all(
+        {"accounts": lambda: scope.accounts, "instruments": lambda: scope.instruments}
+    )
+    return replace(scope, **{name: broadcast_if_small(df) for name, df in stored.items()})
+
+
 def with_shared_sets(inputs: Inputs, work: Workspace, exchanges: list[str]) -> Inputs:
     """Store what several rules read: each large source is then scanned once per run.
 
     Quotes, transfer lines and changes are summed to days; holdings are reduced to the days
-    that any rule or boundary asks for.
+    that any rule or boundary asks for. The scope of `inputs` is a stored one.
     """
-    universe_sets = work.store_all(
-        {"accounts": lambda: inputs.scope.accounts, "instruments": lambda: inputs.scope.instruments}
-    )
-    scope = replace(
-        inputs.scope, **{name: broadcast_if_small(df) for name, df in universe_sets.items()}
-    )
-    step = Inputs(inputs.tables, scope)
+    scope = inputs.scope
     makers = {
         "quotes": lambda: period_quotes(inputs.tables, scope),
-        "event_asks": lambda: event_asks(step, exchanges),
+        "event_asks": lambda: event_asks(inputs, exchanges),
     }
     if EXCHANGE_0 in exchanges:
-        makers["transfer_lines"] = lambda: sse.daily_transfer_lines(step)
+        makers["transfer_lines"] = lambda: sse.daily_transfer_lines(inputs)
     if EXCHANGE_1 in exchanges:
-        makers["changes"] = lambda: szse.daily_changes(step)
+        makers["changes"] = lambda: szse.daily_changes(inputs)
     shared = work.store_all(makers)
     shared["quotes"] = broadcast_if_small(shared["quotes"])
     shared["bounds"] = broadcast_if_small(work.store(quote_bounds(shared["quotes"]), "bounds"))
@@ -177,7 +183,7 @@ def _compute(
     instruments = universe.exchange_instruments(tables.table("sec_info"), job.s_date, codes)
 
     work = Workspace(spark)
-    scope = Scope(batch, job.s_date, job.e_date, accounts, instruments)
+    scope = stored_scope(Scope(batch, job.s_date, job.e_date, accounts, instruments), work)
     inputs = with_shared_sets(Inputs(tables, scope), work, job.exchanges)
     require_unique(inputs.quotes(), ["exch", "sec_cde", "day"], "quotes")
 

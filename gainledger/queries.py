@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .operators.checks import duplicate_keys
 from .operators.store import Workspace
 from .plans import sse, szse, universe
-from .plans.batch import ledger_of, with_shared_sets
+from .plans.batch import ledger_of, stored_scope, with_shared_sets
 from .plans.flows import Inputs, Scope
 from .plans.report import (
     PER_SECURITY,
@@ -74,7 +74,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def inputs_of(spark: SparkSession, folder: str, exchanges: list[str] = EXCHANGES) -> Inputs:
-    """All accounts open after the start and all A-shares, as one run's inputs."""
+    """All accounts open after the start and all A-shares, stored, as one run's inputs."""
     tables = StarTables(spark, folder)
     info = tables.table("sec_info")
     codes = universe.all_shares(info, START, exchanges)
@@ -86,7 +86,7 @@ def inputs_of(spark: SparkSession, folder: str, exchanges: list[str] = EXCHANGES
         accounts.select("sec_acct").distinct(),
         universe.exchange_instruments(info, START, codes),
     )
-    return Inputs(tables, scope)
+    return Inputs(tables, stored_scope(scope, Workspace(spark)))
 
 
 def _with_ledger(

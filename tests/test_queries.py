@@ -28,7 +28,8 @@ def engine():
 def one_ledger_for_all():
     """The queries over the ledger differ only in what they do with it."""
     make = registry._with_ledger
-    registry._with_ledger = functools.cache(lambda spark, folder, *_: make(spark, folder))
+    whole = functools.cache(lambda spark, folder: make(spark, folder))
+    registry._with_ledger = lambda spark, folder, *_: whole(spark, folder)
     yield
     registry._with_ledger = make
 
