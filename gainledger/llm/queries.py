@@ -10,9 +10,27 @@ from pyspark.sql import functions as F
 from ..operators.store import Workspace
 from .common import table
 from .exact_dedup import exact_copies, normalised
+from .sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 40
+
+
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its shard and its place in it."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    placed = shard_by_bytes(docs, Workspace(spark), SHARDS)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
 
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the document that stays for it."""
@@ -23,5 +41,6 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_sharding": op2_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
