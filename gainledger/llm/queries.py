@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as vocabulary_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
+from .bpe import encoding_digests
 from .common import table
 from .exact_dedup import exact_copies, normalised
 from .sharding import shard_by_bytes
@@ -15,6 +17,7 @@ from .sharding import shard_by_bytes
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+VOCABULARY = vocabulary_path("byte_bpe_50k.json")
 
 
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,6 +35,12 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    docs = table(spark, folder, "documents")
+    return encoding_digests(docs, VOCABULARY).withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the document that stays for it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -42,5 +51,6 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
+    "op4_bpe": op4_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
