@@ -12,6 +12,7 @@ from ..operators.store import Workspace
 from .bpe import encoding_digests
 from .common import table
 from .exact_dedup import exact_copies, normalised
+from .language_id import fit_languages, held_out, identify
 from .sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,15 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(docs, VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's predicted language, learned from the rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = fit_languages(docs.filter(~held_out("doc_id")))
+    return identify(docs, model).select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the document that stays for it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -52,5 +62,6 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op4_bpe": op4_bpe,
+    "op8_language_id": op8_language_id,
     "op10_exact_dedup": op10_exact_dedup,
 }
