@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
 from .bpe import encoding_digests
+from .chat_format import FOOTER, LOSS_ROLE, format_conversations, read_back
 from .common import table
 from .exact_dedup import exact_copies, normalised
 from .language_id import fit_languages, held_out, identify
@@ -42,6 +43,15 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(docs, VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, and one whose texts are marks of the template, read back from its format."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marks = FOOTER.strip() + "<|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, LOSS_ROLE, marks)], turns.schema)
+    parts = format_conversations(turns.unionByName(extra), Workspace(spark))
+    return read_back(parts).withColumnRenamed("conv", "conv_id")
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's predicted language, learned from the rows that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -62,6 +72,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op4_bpe": op4_bpe,
+    "op7_chat_format": op7_chat_format,
     "op8_language_id": op8_language_id,
     "op10_exact_dedup": op10_exact_dedup,
 }
