@@ -14,6 +14,7 @@ from .chat_format import FOOTER, LOSS_ROLE, format_conversations, read_back
 from .common import table
 from .exact_dedup import exact_copies, normalised
 from .language_id import fit_languages, held_out, identify
+from .mixing import mix
 from .sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +44,15 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(docs, VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the words that the mix takes from it."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    taken = F.col("copies") * F.col("size")
+    return mix(docs, Workspace(spark)).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), "copies", "source"
+    )
+
+
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation, and one whose texts are marks of the template, read back from its format."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -72,6 +82,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op4_bpe": op4_bpe,
+    "op6_mixing": op6_mixing,
     "op7_chat_format": op7_chat_format,
     "op8_language_id": op8_language_id,
     "op10_exact_dedup": op10_exact_dedup,
