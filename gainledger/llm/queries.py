@@ -13,13 +13,16 @@ from .bpe import encoding_digests
 from .chat_format import FOOTER, LOSS_ROLE, format_conversations, read_back
 from .common import table
 from .exact_dedup import exact_copies, normalised
+from .jaccard_join import jaccard_groups
 from .language_id import fit_languages, held_out, identify
 from .mixing import mix
+from .near_vectors import near_vectors
 from .sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+COSINE = 0.98
 VOCABULARY = vocabulary_path("byte_bpe_50k.json")
 
 
@@ -44,6 +47,12 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(docs, VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
+def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding with its links and the component they form."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    return near_vectors(vectors, Workspace(spark), COSINE).withColumnRenamed("id", "vec_id")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the words that the mix takes from it."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
@@ -71,6 +80,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the group of near copies it belongs to."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard_groups(docs, Workspace(spark)).withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the document that stays for it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -82,8 +97,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op4_bpe": op4_bpe,
+    "op5_near_vectors": op5_near_vectors,
     "op6_mixing": op6_mixing,
     "op7_chat_format": op7_chat_format,
     "op8_language_id": op8_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
