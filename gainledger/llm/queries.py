@@ -13,6 +13,7 @@ from .bpe import encoding_digests
 from .chat_format import FOOTER, LOSS_ROLE, format_conversations, read_back
 from .common import table
 from .exact_dedup import exact_copies, normalised
+from .html_extract import extract, fit_extractor
 from .jaccard_join import jaccard_groups
 from .language_id import fit_languages, held_out, identify
 from .mixing import mix
@@ -26,6 +27,15 @@ COSINE = 0.98
 VOCABULARY = vocabulary_path("byte_bpe_50k.json")
 
 
+def op1_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with its main text."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    model = fit_extractor(pages)
+    return extract(pages, model, ["page_id", "url"]).select(
+        "page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
+    )
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its shard and its place in it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -95,6 +105,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extract": op1_html_extract,
     "op2_sharding": op2_sharding,
     "op4_bpe": op4_bpe,
     "op5_near_vectors": op5_near_vectors,
