@@ -40,7 +40,7 @@ def exact_copies(
     output columns and how they are computed from `docs`; it may not use the names added here or
     names that begin with an underscore.
 
-    1. Every row is marked with the length and a prefix hash of its normalised text (narrow table).
+    1. Rows are counted by the length and a prefix hash of their normalised text (narrow table).
     2. Lengths met once are dropped, then (length, prefix hash) met once.
     3. The full text of the rows left is hashed, and rows are grouped by that hash. The suspects
        are sent to the texts as a broadcast while they fit; beyond that, moving texts to them would
@@ -50,12 +50,11 @@ def exact_copies(
     size = F.octet_length(norm)
     prefix = F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))
 
-    marks = work.store(docs.select(size.alias("size"), prefix.alias("prefix")), "exact_marks")
-    crowded = marks.groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size")
+    marks = docs.select(size.alias("size"), prefix.alias("prefix"))
+    marks = work.store(marks.groupBy("size", "prefix").agg(F.count("*").alias("n")), "exact_marks")
+    crowded = marks.groupBy("size").agg(F.sum("n").alias("n")).filter("n > 1").select("size")
     suspects = (
         marks.join(crowded, "size", "left_semi")
-        .groupBy("size", "prefix")
-        .agg(F.count("*").alias("n"))
         .filter("n > 1")
         .select(F.col("size").alias("_s"), F.col("prefix").alias("_p"), F.lit(True).alias("_suspect"))
     )
