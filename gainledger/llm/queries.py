@@ -19,6 +19,7 @@ from .language_id import fit_languages, held_out, identify
 from .mixing import mix
 from .near_vectors import near_vectors
 from .sharding import shard_by_bytes
+from .suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,21 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the bytes removed from it, and the hash of what is left."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = remove_repeats(docs, Workspace(spark), digest=True)
+    spans = F.arrays_zip("begins", "ends")
+    removed = F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["ends"] - s["begins"])
+    return left.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.lower(F.hex("kept")).alias("kept_sha256"),
+    )
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every document's token ids and of the text decoded from them."""
     docs = table(spark, folder, "documents")
@@ -107,6 +123,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_html_extract": op1_html_extract,
     "op2_sharding": op2_sharding,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_bpe": op4_bpe,
     "op5_near_vectors": op5_near_vectors,
     "op6_mixing": op6_mixing,
