@@ -201,29 +201,56 @@ def fit_languages(labelled: DataFrame, id: str = "doc_id", text: str = "text", l
     return LanguageModel.fit(x, np.array([r.lang for r in rows], object))
 
 
+class Identifier:
+    """Names the language of texts; lives in one task."""
+
+    def __init__(self, model: LanguageModel):
+        self.model, self.count = model, Counter()
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        vectors = [self.count(t or "") if self.model.families else None for t in texts]
+        known = [i for i, v in enumerate(vectors) if v is not None]
+        names, scores = [UNKNOWN] * len(vectors), np.zeros(len(vectors))
+        if known:
+            found, scores[known] = self.model.predict(np.stack([vectors[i] for i in known]))
+            for i, name in zip(known, found, strict=True):
+                names[i] = name
+        return names, scores
+
+
 def identify(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score.
 
     The whole text is read and nothing else. A null text, or one without a letter, is `und` with
-    score 0, as is every text when no language was learned. Ids may be null or repeat.
+    score 0, as is every text when no language was learned. Ids may be null or repeat. An empty
+    table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id].dataType.simpleString()
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, model = Counter(), shared.value
+        identifier = Identifier(shared.value)
         for whole in batches:
             for batch in small_batches(whole, 1):
-                vectors = [count(t or "") if model.families else None for t in batch.column(1).to_pylist()]
-                known = [i for i, v in enumerate(vectors) if v is not None]
-                names, scores = [UNKNOWN] * len(vectors), np.zeros(len(vectors))
-                if known:
-                    found, scores[known] = model.predict(np.stack([vectors[i] for i in known]))
-                    for i, name in zip(known, found, strict=True):
-                        names[i] = name
+                names, scores = identifier(batch.column(1).to_pylist())
                 columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "lang_pred", "score"])
 
     return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(
         predict, f"id {kind}, lang_pred string, score double"
     )
+
+
+def drop_unidentified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of `docs` whose language is not `und`, with their own columns only."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema, place = docs.schema, docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        identifier = Identifier(shared.value)
+        for whole in batches:
+            for batch in small_batches(whole, place):
+                names, _ = identifier(batch.column(place).to_pylist())
+                yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    return docs.mapInArrow(keep, schema)
