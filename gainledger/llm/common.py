@@ -13,6 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Rows of a narrow lookup side that may be broadcast once they are counted: some 30 MB.
 LOOKUP_ROWS = 200_000
+# Narrow rows that a task takes at least in steps over tables whose size is known.
+ROWS_PER_TASK = 20_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,3 +29,8 @@ def lookup(df: DataFrame) -> DataFrame:
 def text_of(name: str) -> Column:
     """The text column, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks for a step over so many narrow rows, so that small tables aren't dealt out to many."""
+    return max(1, -(-rows // ROWS_PER_TASK))

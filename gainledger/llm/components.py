@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
+from .common import lookup, tasks_for
 
 # Rounds shrink paths at least by half, so this covers paths longer than any table.
 MOST_ROUNDS = 64
 
 
-def _smallest(links: DataFrame, work: Workspace, name: str) -> DataFrame:
+def _smallest(links: DataFrame) -> DataFrame:
     """For each u its smallest neighbour, or itself when that is smaller."""
-    return work.store(links.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least")), name)
+    return links.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least"))
 
 
 def connected(links: DataFrame, work: Workspace, name: str = "components") -> DataFrame:
@@ -28,15 +29,16 @@ def connected(links: DataFrame, work: Workspace, name: str = "components") -> Da
     edges = work.store(edges, f"{name}_0")
     sign = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sign")
     seen = edges.agg(F.count("*").alias("n"), sign).first()
+    tasks = tasks_for(seen.n)
     for k in range(1, MOST_ROUNDS + 1):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _smallest(both, work, f"{name}_large_{k}")
-        larger = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        large = work.store(larger.distinct(), f"{name}_stars_{k}")
-        least = _smallest(large, work, f"{name}_small_{k}")
+        least = lookup(work.store(_smallest(both).coalesce(tasks), f"{name}_large_{k}"))
+        # A large star keeps one row for each row that it reads, so repeats need not go yet.
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        least = lookup(work.store(_smallest(large).coalesce(tasks), f"{name}_small_{k}"))
         smaller = large.join(least, "u").filter("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
         edges = smaller.unionByName(least.select("u", F.col("least").alias("v"))).distinct()
-        edges = work.store(edges, f"{name}_{k}")
+        edges = work.store(edges.coalesce(tasks), f"{name}_{k}")
         now = edges.agg(F.count("*").alias("n"), sign).first()
         if now == seen:
             break

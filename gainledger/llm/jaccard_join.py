@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
 from .bpe import small_batches
-from .common import lookup
+from .common import lookup, tasks_for
 from .components import connected
 
 SHINGLE_WORDS = 5
@@ -32,9 +32,10 @@ PERCENT = 80
 # Counters of the frequency sketch (a fixed size, whatever the corpus) and how they travel.
 COUNTERS = 1 << 20
 BLOCK = 1 << 10
-# Rounds of stars at most, and the pairs per posting from which the last step takes over.
+# Rounds of stars at most, and the comparisons per posting up to which the last step takes over.
 STAR_ROUNDS = 6
-PAIRS_PER_POSTING = 2
+# In the first round, before anything is linked up, it does so only where pairs are few.
+PAIRS_PER_POSTING, FEW_PER_POSTING = 200, 2
 # Cells of the histogram behind the suffix filter.
 CELLS = 64
 
@@ -123,15 +124,34 @@ def may_link(percent: int, a: str = "a", b: str = "b") -> Column:
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (rest >= needed(na, nb, percent))
 
 
+def may_meet(tokens: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the postings, sorted by token and size, may link with another of their token.
+
+    The sizes next to a posting's own are the nearest, so they settle the length filter; where just
+    two classes share a token, the positional filter is settled as well.
+    """
+    same = np.zeros(len(tokens) + 1, bool)  # same[i]: rows i - 1 and i have one token
+    same[1:-1] = tokens[1:] == tokens[:-1]
+    n = n.astype(np.int64)
+    near = np.zeros(len(tokens) + 1, bool)
+    near[1:-1] = same[1:-1] & (100 * n[:-1] >= percent * n[1:])
+    two = same.copy()  # rows i - 1 and i are all that have the token
+    two[1:] &= ~same[:-1]
+    two[:-1] &= ~same[1:]
+    rest = np.minimum(n[1:] - pos[1:], n[:-1] - pos[:-1])
+    near[1:-1] &= ~two[1:-1] | ((100 + percent) * rest >= percent * (n[1:] + n[:-1]))
+    return near[:-1] | near[1:]
+
+
 def marked_documents(docs: DataFrame, work: Workspace, id: str, text: str, words: int) -> tuple[DataFrame, np.ndarray]:
-    """Stored (id, n, class) of every row, and how frequent the shingles of each counter are.
+    """Stored (id, n, class, cells) of every row, and how frequent the shingles of each counter are.
 
     One pass over the texts: every task also counts its shingles in a sketch of fixed size, which is
     summed block by block. The counts only decide the order of shingles, so a counter shared by
     several shingles costs time at most.
     """
     kind = docs.schema[id].dataType.simpleString()
-    names = ["id", "n", "class", "block", "counts"]
+    names = ["id", "n", "class", "cells", "block", "counts"]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
@@ -139,18 +159,19 @@ def marked_documents(docs: DataFrame, work: Workspace, id: str, text: str, words
         for whole in batches:
             id_type = whole.column(0).type
             for batch in small_batches(whole, 1):
-                sizes, classes = [], []
+                sizes, classes, cells = [], [], []
                 for found in shingle_sets(batch.column(1).to_pylist(), words):
                     sizes.append(len(found))
                     classes.append(class_of(found) if len(found) else None)
+                    cells.append(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=CELLS).astype("<u4").tobytes())
                     np.add.at(counts, (found % np.uint64(COUNTERS)).astype(np.int64), np.uint32(1))
                 n = len(sizes)
-                columns = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+                columns = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(cells, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
         if id_type is not None:
             rows = counts.reshape(-1, BLOCK)
             n = len(rows)
-            columns = [pa.nulls(n, id_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())]
+            columns = [pa.nulls(n, id_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,16 +191,16 @@ def marked_documents(docs: DataFrame, work: Workspace, id: str, text: str, words
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in done], pa.int32()), pa.array(levels, pa.binary())], ["block", "level"])
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    marks = work.store(rows.mapInArrow(mark, f"id {kind}, n int, class long, block int, counts binary"), "shingle_marks")
+    marks = work.store(rows.mapInArrow(mark, f"id {kind}, n int, class long, cells binary, block int, counts binary"), "shingle_marks")
     sketch = marks.filter("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
     levels = np.zeros((COUNTERS // BLOCK, BLOCK), np.uint8)
     for r in sketch.mapInArrow(summed, "block int, level binary").collect():  # COUNTERS bytes in all
         levels[r.block] = np.frombuffer(r.level, np.uint8)
-    return marks.filter("block is null").select("id", "n", "class"), levels.ravel()
+    return marks.filter("block is null").select("id", "n", "class", "cells"), levels.ravel()
 
 
 def shared_postings(docs: DataFrame, work: Workspace, levels: np.ndarray, text: str, words: int, percent: int) -> DataFrame:
-    """Stored (token, class, n, pos): shingles in the prefixes of at least two classes, pos from 0."""
+    """Stored (token, class, n, pos): shingles in the prefixes of classes that may link, pos from 0."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,73 +222,61 @@ def shared_postings(docs: DataFrame, work: Workspace, levels: np.ndarray, text:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["token", "class", "n", "pos"])
 
     def only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Drops runs of one token with a single class; rows come sorted by token and class."""
-        held: pa.RecordBatch | None = None  # the last row, if its token has had no other class yet
-        token = None  # the token at the end of the last batch, if it is shared
-        last = (None, None)
+        """Drops postings that can link with no other of their token; rows come sorted by token and
+        size. What is known of a row depends on two rows on either side, so four are carried over."""
+        carried: pa.RecordBatch | None = None
+        decided = 0  # leading rows of `carried` that are there as context only
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if carried is not None:
+                batch = pa.Table.from_batches([carried, batch]).combine_chunks().to_batches()[0]
             tokens, classes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             fresh = np.ones(len(tokens), bool)
             fresh[1:] = (tokens[1:] != tokens[:-1]) | (classes[1:] != classes[:-1])
-            if held is None and last != (None, None):
-                fresh[0] = (int(tokens[0]), int(classes[0])) != last
             batch = batch.filter(pa.array(fresh))
-            tokens, classes = tokens[fresh], classes[fresh]
-            if not len(tokens):
-                continue
-            last = (int(tokens[-1]), int(classes[-1]))
-            same = tokens[1:] == tokens[:-1]
-            met = np.zeros(len(tokens), bool)
-            met[1:] |= same
-            met[:-1] |= same
-            if token is not None:
-                met |= tokens == token
-            if met[-1]:
-                token, held = int(tokens[-1]), None
-            else:
-                token, held = None, batch.slice(len(tokens) - 1)
-                last = (None, None)
-            if met.any():
-                yield batch.filter(pa.array(met))
+            keep = may_meet(*(batch.column(i).to_numpy() for i in (0, 2, 3)), percent)
+            last = max(decided, batch.num_rows - 2)
+            keep[:decided] = keep[last:] = False
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+            begin = max(0, last - 2)
+            carried, decided = batch.slice(begin), last - begin
+        if carried is not None:
+            keep = may_meet(*(carried.column(i).to_numpy() for i in (0, 2, 3)), percent)
+            keep[:decided] = False
+            if keep.any():
+                yield carried.filter(pa.array(keep))
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(prefixes, "token long, class long, n int, pos int")
-    sorted_rows = rows.repartition("token").sortWithinPartitions("token", "class")
+    sorted_rows = rows.repartition("token").sortWithinPartitions("token", "n", "class")
     return work.store(sorted_rows.mapInArrow(only_shared, "token long, class long, n int, pos int"), "shingle_postings")
 
 
-def whole_sets(docs: DataFrame, work: Workspace, marks: DataFrame, postings: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """Stored (class, n, cells, found) of the classes in `postings`: the histogram and the set."""
-    involved = postings.select(F.col("class").alias("met")).distinct()
-    first = marks.join(involved, F.col("class") == F.col("met")).groupBy("class").agg(F.min("id").alias("first"))
-    wanted = lookup(work.store(first.select("first").distinct(), "shingle_wanted"))
+def whole_sets(
+    docs: DataFrame, work: Workspace, classes: DataFrame, wanted: DataFrame, id: str, text: str, words: int, name: str
+) -> DataFrame:
+    """Stored (class, found) of the classes in `wanted`, read from the first document of each."""
+    first = classes.join(wanted, F.col("class") == F.col("want")).select("first").distinct()
+    first = lookup(work.store(first, f"{name}_wanted"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_batches(whole, 0):
                 found = [f for f in shingle_sets(batch.column(0).to_pylist(), words) if len(f)]
-                cells = [np.bincount((f >> np.uint64(58)).astype(np.int64), minlength=CELLS).astype("<u4").tobytes() for f in found]
-                columns = [
-                    pa.array([class_of(f) for f in found], pa.int64()),
-                    pa.array([len(f) for f in found], pa.int32()),
-                    pa.array(cells, pa.binary()),
-                    pa.array([f.tobytes() for f in found], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["class", "n", "cells", "found"])
+                columns = [pa.array([class_of(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["class", "found"])
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    chosen = rows.join(wanted, F.col("id").eqNullSafe(F.col("first")), "left_semi").select("text")
-    return work.store(chosen.mapInArrow(read, "class long, n int, cells binary, found binary"), "shingle_sets")
+    chosen = rows.join(first, F.col("id").eqNullSafe(F.col("first")), "left_semi").select("text")
+    return work.store(chosen.mapInArrow(read, "class long, found binary"), f"{name}_sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, work: Workspace, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough.
+def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the suffix filter.
 
-    The suffix filter needs the histograms only: over the cells of the hash range the sizes of two
-    sets differ by no more than the sets do. Whole sets are sent for the pairs it lets through.
+    It needs the histograms only: over the cells of the hash range the sizes of two sets differ by
+    no more than the sets do.
     """
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,6 +290,16 @@ def verified(pairs: DataFrame, sets: DataFrame, work: Workspace, percent: int, n
             keep = pa.array(np.abs(a - b).sum(axis=1) <= total - 2 * least)
             yield batch.select([0, 1]).filter(keep)
 
+    cells = classes.select("class", "cells")
+    sketched = pairs.join(cells.withColumnsRenamed({"class": "a", "cells": "ca"}), "a").join(
+        cells.withColumnsRenamed({"class": "b", "cells": "cb"}), "b"
+    )
+    return sketched.select("a", "b", "ca", "cb").mapInArrow(near, "a long, b long")
+
+
+def verified(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -290,16 +309,11 @@ def verified(pairs: DataFrame, sets: DataFrame, work: Workspace, percent: int, n
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    cells = sets.select("class", "cells")
-    sketched = pairs.join(cells.withColumnsRenamed({"class": "a", "cells": "ca"}), "a").join(
-        cells.withColumnsRenamed({"class": "b", "cells": "cb"}), "b"
-    )
-    likely = work.store(sketched.select("a", "b", "ca", "cb").mapInArrow(near, "a long, b long").distinct(), f"{name}_likely")
     full = sets.select("class", "found")
     joined = likely.join(full.withColumnsRenamed({"class": "a", "found": "fa"}), "a").join(
         full.withColumnsRenamed({"class": "b", "found": "fb"}), "b"
     )
-    return work.store(joined.select("a", "b", "fa", "fb").mapInArrow(check, "a long, b long"), f"{name}_links")
+    return joined.select("a", "b", "fa", "fb").mapInArrow(check, "a long, b long")
 
 
 def star_pairs(labelled: DataFrame, percent: int, round: int) -> DataFrame:
@@ -323,35 +337,44 @@ def rest_pairs(labelled: DataFrame, percent: int) -> DataFrame:
     return side("a").join(side("b"), "token").filter((F.col("ga") < F.col("gb")) & may_link(percent)).select("a", "b").distinct()
 
 
-def linked_classes(postings: DataFrame, sets: DataFrame, work: Workspace, percent: int) -> DataFrame:
-    """(node, component) of the classes that are linked with any other."""
-    per_token = postings.groupBy("token").agg(F.count("*").alias("m"))
-    weights = postings.join(work.store(per_token, "shingle_tokens"), "token").groupBy("class").agg(F.sum("m").alias("weight"))
-    weighted = work.store(
-        postings.join(work.store(weights, "shingle_weights").withColumnRenamed("class", "w_class"), F.col("class") == F.col("w_class")).drop("w_class"),
-        "shingle_weighted",
-    )
+def linked_classes(postings: DataFrame, classes: DataFrame, work: Workspace, percent: int, read_sets) -> DataFrame:
+    """(node, component) of the classes that are linked with any other.
+
+    `read_sets(wanted, name)` gives the sets of the classes in `wanted` (want).
+    """
+    weights = postings.groupBy(F.col("class").alias("w_class")).agg((F.count("*") / F.first("n")).alias("weight"))
+    weights = work.store(weights, "shingle_weights")
+    weighted = work.store(postings.join(weights, F.col("class") == F.col("w_class")).drop("w_class"), "shingle_weighted")
     size = weighted.count()
-    links, groups = None, None
+    tasks = tasks_for(size)
+    links, groups, sets = None, None, None
     for round in range(1, STAR_ROUNDS + 2):
+        name = f"shingle_round_{round}"
         if groups is None:
             labelled = weighted.withColumn("group", F.col("class"))
         else:
-            labelled = weighted.join(groups, F.col("class") == F.col("node"), "left").withColumn(
-                "group", F.coalesce("component", "class")
-            ).drop("node", "component")
+            labelled = weighted.join(groups, F.col("class") == F.col("node"), "left")
+            labelled = labelled.withColumn("group", F.coalesce("component", "class")).drop("node", "component")
             # Tokens whose classes are all in one group have nothing left to find.
             spread = labelled.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("most")).filter("least <> most")
-            spread = work.store(spread.select("token"), f"shingle_spread_{round}")
-            labelled = work.store(labelled.join(spread, "token", "left_semi"), f"shingle_labelled_{round}")
+            spread = work.store(spread.select("token").coalesce(tasks), f"{name}_spread")
+            labelled = work.store(labelled.join(lookup(spread), "token", "left_semi").coalesce(tasks), f"{name}_postings")
         by_group = labelled.groupBy("token", "group").agg(F.count("*").alias("k"))
         by_token = by_group.groupBy("token").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("ordered"))
         open_pairs = by_token.agg(F.coalesce(F.sum("ordered") / 2, F.lit(0.0)).alias("x")).first().x
-        last = round > 1 and (open_pairs <= PAIRS_PER_POSTING * size or round > STAR_ROUNDS)
+        few = FEW_PER_POSTING if round == 1 else PAIRS_PER_POSTING
+        last = open_pairs <= few * size or round > STAR_ROUNDS
         pairs = rest_pairs(labelled, percent) if last else star_pairs(labelled, percent, round)
-        found = verified(work.store(pairs, f"shingle_pairs_{round}"), sets, work, percent, f"shingle_round_{round}")
+        pairs = work.store(pairs.coalesce(tasks), f"{name}_pairs")
+        likely = work.store(likely_pairs(pairs, classes, percent).coalesce(tasks), f"{name}_likely")
+        wanted = likely.select(F.explode(F.array("a", "b")).alias("want")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select("class"), F.col("want") == F.col("class"), "left_anti")
+        more = read_sets(wanted, name)
+        sets = more if sets is None else sets.unionByName(more)
+        found = work.store(verified(likely, sets, percent).coalesce(tasks), f"{name}_links")
         links = found if links is None else links.unionByName(found)
-        groups = connected(links, work, f"shingle_groups_{round}")
+        groups = connected(links, work, f"{name}_groups")
         if last:
             return groups
     raise AssertionError("the last round returns")
@@ -373,12 +396,13 @@ def jaccard_groups(
     are. An empty table gives no rows. Sets are compared by 64-bit hashes of their shingles.
     """
     marks, levels = marked_documents(docs, work, id, text, words)
+    classes = marks.filter("n > 0").groupBy("class").agg(F.min("id").alias("first"), F.any_value("cells").alias("cells"))
+    classes = work.store(classes, "shingle_classes")
     postings = shared_postings(docs, work, levels, text, words, percent)
-    sets = whole_sets(docs, work, marks, postings, id, text, words)
-    groups = linked_classes(postings, sets, work, percent)
+    read_sets = lambda wanted, name: whole_sets(docs, work, classes, wanted, id, text, words, name)
+    groups = linked_classes(postings, classes, work, percent, read_sets)
 
-    firsts = marks.filter("n > 0").groupBy("class").agg(F.min("id").alias("first"))
-    firsts = firsts.join(groups, F.col("class") == F.col("node"), "left").select(
+    firsts = classes.join(groups, F.col("class") == F.col("node"), "left").select(
         "class", "first", F.coalesce("component", "class").alias("group")
     )
     firsts = work.store(firsts, "shingle_firsts")
