@@ -10,6 +10,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @functools.cache
@@ -46,6 +48,11 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self) -> None:
+        """Deletes the tables of this run; what was read from them must be written by then."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def store_all(self, makers: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Store tables that do not depend on each other side by side.
 
@@ -59,18 +66,29 @@ class Workspace:
             return {name: job.result() for name, job in running.items()}
 
 
+def slice_path(root: str, **slice_of: str) -> str:
+    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in slice_of.items()]])
+
+
+def read_slice(spark: SparkSession, schema: T.StructType, root: str, **slice_of: str) -> DataFrame:
+    """One slice by its own path, so that other slices are neither listed nor in the way."""
+    inside = T.StructType([f for f in schema.fields if f.name not in slice_of])
+    rows = spark.read.schema(inside).parquet(slice_path(root, **slice_of))
+    named = rows.withColumns({k: F.lit(v).cast(schema[k].dataType) for k, v in slice_of.items()})
+    return named.select(*schema.names)
+
+
 def replace_slice(df: DataFrame, root: str, **slice_of: str) -> str:
     """Replace one partition directory of a result table; returns its path.
 
     Each slice is its own directory, so an empty result also clears the old rows (a dynamic
     partition overwrite would leave them), and other slices are not touched.
     """
-    path = "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in slice_of.items()]])
+    path = slice_path(root, **slice_of)
     df.drop(*slice_of).write.mode("overwrite").parquet(path)
     return path
 
 
 def extend_slice(df: DataFrame, root: str, **slice_of: str) -> None:
     """Add rows to a slice written before in the same run."""
-    path = "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in slice_of.items()]])
-    df.drop(*slice_of).write.mode("append").parquet(path)
+    df.drop(*slice_of).write.mode("append").parquet(slice_path(root, **slice_of))

@@ -10,6 +10,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checks import value_or_fail
+
 OPEN_END = date(3000, 12, 31)
 
 
@@ -39,17 +41,25 @@ def without_covered(
 def latest_version(history: DataFrame, key: str, alive_after: date, keep: list[str]) -> DataFrame:
     """One row per key: the version with the latest start among those ending after a date.
 
-    A struct maximum instead of a window: it combines on the map side, so a key with very
-    many versions never lands whole in one task. Versions tied on the start date resolve to
-    the largest values.
+    Struct maxima instead of a window: they combine on the map side, so a key with very many
+    versions never lands whole in one task. Versions tied on the latest start must agree: the
+    largest and the smallest hash of their values are compared, and a difference fails the query.
     """
-    latest = F.max(F.struct("s_date", *keep)).alias("_v")
-    return (
+    look = F.xxhash64(*keep)
+    found = (
         history.filter(F.col("e_date") > F.lit(alive_after))
         .groupBy(key)
-        .agg(latest)
-        .select(key, *[F.col(f"_v.{c}").alias(c) for c in keep])
+        .agg(
+            F.max(F.struct("s_date", *keep)).alias("_v"),
+            F.max(F.struct("s_date", look.alias("look"))).alias("_high"),
+            F.max(F.struct("s_date", F.bitwise_not(look).alias("look"))).alias("_low"),
+        )
     )
+    agree = F.col("_high.look") == F.bitwise_not("_low.look")
+    message = F.concat(F.lit(f"versions tied on their start: {key} "), F.coalesce(key, F.lit("null")))
+    columns = [F.col(f"_v.{c}") for c in keep]
+    columns = [value_or_fail(agree, columns[0], message), *columns[1:]]
+    return found.select(key, *[c.alias(name) for c, name in zip(columns, keep, strict=True)])
 
 
 def open_days(calendar: DataFrame) -> DataFrame:

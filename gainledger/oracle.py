@@ -491,7 +491,8 @@ _AMOUNTS = [
 FINAL: dict[str, str] = {
     "q_job_params": f"""SELECT batch, CAST(s_date AS STRING) AS s_date,
       CAST(e_date AS STRING) AS e_date, obj_type, obj_content, invst_sort, invst_content, exch,
-      CAST(commission AS DOUBLE) AS commission, exclusion FROM {{job_log}} WHERE batch = '{BATCH}'""",
+      CAST(commission AS DOUBLE) AS commission, exclusion,
+      CAST(calc_time AS STRING) AS calc_time, calc_user, status FROM {{job_log}} WHERE batch = '{BATCH}'""",
     "q_list_dedupe": "SELECT DISTINCT item_nbr FROM {security_list}",
     "q_date_range_scan": f"""SELECT CAST(trad_date AS STRING) AS trad_date, count(*) AS n_lines,
       CAST(sum(clr_amt) AS DOUBLE) AS clr_amt FROM {{clr_stm_dtl}}
@@ -556,9 +557,28 @@ FINAL: dict[str, str] = {
 }
 
 
+# The whole runs: the same relations over the accounts and codes of uploaded lists.
+FINAL |= {
+    "q_batch_report": FINAL["q_final_report"],
+    "q_batch_ledger": FINAL["q_ledger_all"],
+    "q_batch_investors": FINAL["q_invest_class"].replace("a.sec_acct AS prmt_val", "a.sec_acct AS prmt_val, '1' AS status"),
+}
+OWN_RELATIONS: dict[str, dict[str, str]] = {
+    "q_batch_report": {
+        "accts": "SELECT DISTINCT item_nbr AS sec_acct FROM {account_list} WHERE item_nbr IS NOT NULL",
+        "codes": RELATIONS["codes"] + " AND sec_cde IN (SELECT item_nbr FROM {security_list})",
+    },
+    "q_batch_ledger": {
+        "accts": f"""SELECT DISTINCT a.sec_acct FROM {{intg_sec_acct}} a
+          JOIN {{owner_list}} o ON o.item_nbr = a.oap_acct_nbr
+          WHERE trim(a.oap_acct_nbr) <> '' AND a.e_date > {S}""",
+    },
+}
+
+
 def statement(name: str) -> str:
     """One self-contained statement: the relations a query needs, in order, then the query."""
-    known = VIEWS | RELATIONS
+    known = VIEWS | RELATIONS | OWN_RELATIONS.get(name, {})
     order: list[str] = []
 
     def add(text: str) -> None:

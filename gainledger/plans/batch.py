@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import require_unique
 from ..operators.sizing import broadcast_if_small
-from ..operators.store import Workspace, extend_slice, replace_slice
+from ..operators.store import Workspace, extend_slice, read_slice, replace_slice, slice_path
 from ..sources.jobs import DONE, FAILED, RUNNING, Job, record_status, split_values
 from ..sources.lists import read_list
 from ..sources.schemas import INSTRUMENTS, INVESTORS, LEDGER, REPORT
@@ -60,9 +60,10 @@ def with_shared_sets(inputs: Inputs, work: Workspace, exchanges: list[str]) -> I
     shared = work.store_all(makers)
     shared["quotes"] = broadcast_if_small(shared["quotes"])
     shared["bounds"] = broadcast_if_small(work.store(quote_bounds(shared["quotes"]), "bounds"))
-    asks = shared.pop("event_asks").unionByName(boundary_asks(shared["bounds"]))
+    asks = shared.pop("event_asks").unionByName(boundary_asks(shared["bounds"])).distinct()
+    asks = work.store(asks, "asks")
     shared["held"] = work.store(scope_holdings(inputs.tables, scope, asks), "held")
-    return Inputs(inputs.tables, scope, shared)
+    return Inputs(inputs.tables, scope, shared, work)
 
 
 def event_asks(inputs: Inputs, exchanges: list[str]) -> DataFrame:
@@ -94,20 +95,24 @@ def ledger_of(inputs: Inputs, work: Workspace, exchanges: list[str]) -> DataFram
 # --- universes of a job -------------------------------------------------------------------
 
 
-def job_instruments(spark: SparkSession, job: Job, tables: Tables, lists: str) -> DataFrame:
+def job_instruments(
+    spark: SparkSession, job: Job, tables: Tables, lists: str, rejects_to: str | None = None
+) -> DataFrame:
     info = tables.table("sec_info")
     if job.obj_type == "1":
         if job.obj_content == universe.A_SHARE:
             return universe.all_shares(info, job.s_date, job.exchanges)
         return universe.board_shares(info, job.s_date, job.exchanges, job.obj_content)
-    items = read_list(spark, f"{lists}/{job.obj_content}")
+    items = read_list(spark, f"{lists}/{job.obj_content}", rejects_to=rejects_to)
     return universe.listed_shares(info, job.s_date, job.exchanges, items)
 
 
-def job_investors(spark: SparkSession, job: Job, tables: Tables, lists: str) -> DataFrame:
+def job_investors(
+    spark: SparkSession, job: Job, tables: Tables, lists: str, rejects_to: str | None = None
+) -> DataFrame:
     accounts = tables.table("intg_sec_acct")
     if job.invst_sort in (universe.OWNER, universe.ACCOUNT):
-        items = read_list(spark, f"{lists}/{job.invst_content}")
+        items = read_list(spark, f"{lists}/{job.invst_content}", rejects_to=rejects_to)
         return universe.investors_from_list(accounts, items, job.invst_sort, job.s_date)
     wanted = split_values(job.invst_content)
     classes = tables.table("invst_clsf_his")
@@ -117,6 +122,9 @@ def job_investors(spark: SparkSession, job: Job, tables: Tables, lists: str) ->
 # --- the run ------------------------------------------------------------------------------
 
 
+RESULTS = {"instruments": INSTRUMENTS, "investors": INVESTORS, "ledger": LEDGER, "report": REPORT}
+
+
 @dataclass(frozen=True)
 class Results:
     """Result tables below one folder; every batch replaces only its own slices."""
@@ -128,6 +136,9 @@ class Results:
     def status_path(self) -> str:
         return f"{self.root}/status"
 
+    def slice(self, name: str, **slice_of: str) -> DataFrame:
+        return read_slice(self.spark, RESULTS[name], f"{self.root}/{name}", **slice_of)
+
     def instruments(self) -> DataFrame:
         return self.spark.read.schema(INSTRUMENTS).parquet(f"{self.root}/instruments")
 
@@ -154,36 +165,40 @@ def run_batch(
     """Compute one batch and return its report.
 
     The status log says running from the start and done or failed at the end, whatever happens
-    in between. Running a batch again replaces its slices and leaves other batches alone.
+    in between, and the run's intermediate tables are removed then. Running a batch again replaces
+    its slices and leaves other batches alone. Lines rejected from uploaded lists are kept below
+    `rejects`, also when they fail the run.
     """
     results = Results(spark, out.rstrip("/"))
     record_status(spark, results.status_path, job.batch, RUNNING)
     status = FAILED
+    work = Workspace(spark)
     try:
-        report = _compute(spark, job.check(), tables, results, lists, top10)
+        report = _compute(spark, job.check(), tables, results, lists, top10, work)
         status = DONE
         return report
     finally:
+        work.remove()
         record_status(spark, results.status_path, job.batch, status)
 
 
 def _compute(
-    spark: SparkSession, job: Job, tables: Tables, results: Results, lists: str, top10: str
+    spark: SparkSession, job: Job, tables: Tables, results: Results, lists: str, top10: str, work: Workspace
 ) -> DataFrame:
     root, batch = results.root, job.batch
-    of_batch = F.col("batch") == batch
 
-    codes = job_instruments(spark, job, tables, lists)
-    replace_slice(require_unique(codes, ["sec_cde"], "instruments"), f"{root}/instruments", batch=batch)
-    investors = job_investors(spark, job, tables, lists)
+    codes = job_instruments(spark, job, tables, lists, slice_path(f"{root}/rejects/instruments", batch=batch))
+    replace_slice(codes, f"{root}/instruments", batch=batch)  # distinct by construction
+    investors = job_investors(spark, job, tables, lists, slice_path(f"{root}/rejects/investors", batch=batch))
     replace_slice(investors, f"{root}/investors", batch=batch)
-    stored = results.investors().filter(of_batch).drop("batch")
-    accounts = universe.batch_accounts(require_unique(stored, ["prmt_val"], "investors"))
-    codes = results.instruments().filter(of_batch).select("sec_cde")
+    stored = results.slice("investors", batch=batch)
+    accounts = universe.batch_accounts(require_unique(stored, ["prmt_val"], "investors").drop("batch"))
+    codes = results.slice("instruments", batch=batch).select("sec_cde")
     instruments = universe.exchange_instruments(tables.table("sec_info"), job.s_date, codes)
 
-    work = Workspace(spark)
     scope = stored_scope(Scope(batch, job.s_date, job.e_date, accounts, instruments), work)
+    # Holdings are valued by code, so a code must not stand for an instrument on both exchanges.
+    require_unique(scope.instruments, ["sec_cde"], "instruments of both exchanges")
     inputs = with_shared_sets(Inputs(tables, scope), work, job.exchanges)
     require_unique(inputs.quotes(), ["exch", "sec_cde", "day"], "quotes")
 
@@ -191,11 +206,12 @@ def _compute(
         if exch not in job.exchanges:
             continue
         replace_slice(flow_rows(inputs, exch), f"{root}/ledger", batch=batch, exch=exch)
-        flows = results.ledger().filter(of_batch & (F.col("exch") == exch))
+        flows = results.slice("ledger", batch=batch, exch=exch).select(*LEDGER_COLUMNS)
         gap = work.store(holding_gap(inputs, flows, exch), f"gap_{exch}")
         extend_slice(gap, f"{root}/ledger", batch=batch, exch=exch)
 
-    ledger = results.ledger().filter(of_batch & F.col("exch").isin(job.exchanges))
+    parts = [results.slice("ledger", batch=batch, exch=exch) for exch in ("0", "1") if exch in job.exchanges]
+    ledger = union_all(parts).select(*LEDGER_COLUMNS)
     report = final_report(inputs, ledger, job.commission, top10)
     replace_slice(report, f"{root}/report", batch=batch)
-    return results.report().filter(of_batch)
+    return results.slice("report", batch=batch).select(*REPORT_COLUMNS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import LEDGER_AMOUNT, LEDGER_TAX, LEDGER_VOLUME, security_code
 from ..operators.sizing import broadcast_if_small
+from ..operators.store import Workspace
 from ..operators.temporal import held_on
+from ..sources.parquet_tables import MONTH, month_of
 
 EXCHANGE_0 = "0"
 EXCHANGE_1 = "1"
@@ -75,13 +78,31 @@ class Inputs:
     tables: Tables
     scope: Scope
     shared: Mapping[str, DataFrame] = field(default_factory=dict)
+    work: Workspace | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.tables.table(name)
 
+    def between(self, name: str, day: str, first: Column, last: Column) -> DataFrame:
+        """Rows of a table whose `day` lies in a range of days.
+
+        Stored tables are laid out by month; the range then also selects the month folders, so a
+        short period neither lists nor opens the files of the whole history.
+        """
+        rows = period_rows(self.table(name), day, first, last)
+        return rows.drop(MONTH)
+
+    def in_period(self, name: str, day: str) -> DataFrame:
+        return self.between(name, day, F.lit(self.scope.start), F.lit(self.scope.end))
+
     def common(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         return self.shared[name] if name in self.shared else make()
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """A small set written out before its size is asked for, so that it is computed once."""
+        work = self.work or Workspace(df.sparkSession)
+        return work.store(df, f"{name}_{uuid.uuid4().hex[:8]}")
+
     def quotes(self) -> DataFrame:
         """Closes of the run's instruments in the period: exch, sec_cde, day, cls_prc."""
         return self.common("quotes", lambda: period_quotes(self.tables, self.scope))
@@ -94,7 +115,9 @@ class Inputs:
 
         A stored set may answer more days than asked; callers join it back to their events.
         """
-        return self.common("held", lambda: scope_holdings(self.tables, self.scope, asks))
+        return self.common(
+            "held", lambda: scope_holdings(self.tables, self.scope, self.stored(asks.distinct(), "asks"))
+        )
 
     def held(self, exch: str, events: DataFrame) -> DataFrame:
         """The same for the (sec_cde, ask_date) of `events` on one exchange."""
@@ -102,10 +125,17 @@ class Inputs:
         return self.held_on(asks).filter(F.col("exch") == exch).drop("exch")
 
 
+def period_rows(rows: DataFrame, day: str, first: Column, last: Column) -> DataFrame:
+    """Rows with `day` from `first` to `last`, by month folder where there are any."""
+    rows = rows.filter((F.col(day) >= first) & (F.col(day) <= last))
+    if MONTH in rows.columns:
+        rows = rows.filter((F.col(MONTH) >= month_of(first)) & (F.col(MONTH) <= month_of(last)))
+    return rows
+
+
 def period_quotes(tables: Tables, scope: Scope) -> DataFrame:
     quotes = (
-        tables.table("sec_quot")
-        .filter(scope.in_period("trad_date"))
+        period_rows(tables.table("sec_quot"), "trad_date", F.lit(scope.start), F.lit(scope.end))
         .select(F.col("sec_exch_cde").alias("exch"), "sec_cde", F.col("trad_date").alias("day"), "cls_prc")
     )
     return quotes.join(scope.instruments, ["exch", "sec_cde"], "left_semi")
@@ -114,10 +144,11 @@ def period_quotes(tables: Tables, scope: Scope) -> DataFrame:
 def scope_holdings(tables: Tables, scope: Scope, asks: DataFrame) -> DataFrame:
     """(exch, sec_acct, sec_cde, ask_date) -> hold_vol for the accounts of the run.
 
-    The asks are a few days per security. They are counted and broadcast within the bound, so
-    the holdings are filtered where they are read and never shuffled row by row.
+    The asks are a few days per security, stored and without duplicates. They are counted and
+    broadcast within the bound, so the holdings are filtered where they are read and never
+    shuffled row by row.
     """
-    wanted = broadcast_if_small(asks.distinct())
+    wanted = broadcast_if_small(asks)
     holdings = (
         tables.table("hold_his")
         .filter((F.col("s_date") <= F.lit(scope.end)) & (F.col("e_date") > F.lit(scope.start)))

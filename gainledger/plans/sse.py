@@ -45,8 +45,7 @@ def trades(inputs: Inputs) -> DataFrame:
     """1000: ordinary trades, without lines of margin-lending accounts on that day."""
     scope = inputs.scope
     lines = (
-        inputs.table("clr_stm_dtl")
-        .filter(scope.in_period("trad_date"))
+        inputs.in_period("clr_stm_dtl", "trad_date")
         .filter((F.col("biz_sort") == "001") & (F.col("sec_ctg") == "PT") & (F.col("trans_type") == "00A"))
         .filter((F.col("result_cde") == "0000") & (F.col("rcod_type") == "001"))
         .filter((F.col("setl_vol") != 0) & ~F.col("shdr_acct").isin(SPECIAL_ACCOUNTS))
@@ -59,12 +58,12 @@ def trades(inputs: Inputs) -> DataFrame:
         .select(F.col("sec_setl_acct").alias("sec_acct"), "s_date", "e_date")
         .distinct()
     )
-    flows = sum_outside_spells(lines, lenders, "trad_date", _clearing_sums(), CLEARING_SUMS)
+    flows = sum_outside_spells(inputs, lines, lenders, "trad_date", _clearing_sums(), CLEARING_SUMS)
     return _clearing_ledger(scope.keep(flows, EXCHANGE_0), "1000", scope.batch)
 
 
 def sum_outside_spells(
-    lines: DataFrame, spells: DataFrame, day: str, sums: list, names: list[str]
+    inputs: Inputs, lines: DataFrame, spells: DataFrame, day: str, sums: list, names: list[str]
 ) -> DataFrame:
     """Sums by account and security over the lines that no spell of the account covers.
 
@@ -73,6 +72,7 @@ def sum_outside_spells(
     row per account, security and day.
     """
     keys = ["sec_acct", "sec_cde"]
+    spells = inputs.stored(spells, "spells")
     if fits_broadcast(spells):
         kept = without_covered(lines, F.broadcast(spells), "sec_acct", day)
         return kept.groupBy(*keys).agg(*sums)
@@ -92,7 +92,9 @@ def margin_trades(inputs: Inputs) -> DataFrame:
     Trades and clearing lines meet on day, application and trade number; the account is not
     compared, so every clearing line of such a number counts for the account of the trade.
     Both sides are summed before they meet: a number that repeats a million times on each side
-    costs one row each, not a million squared.
+    costs one row each, not a million squared. The orders are few against the clearing lines. They
+    are stored and counted, and within the bound their numbers filter the lines where these are
+    read; beyond it the lines are summed first, as a hot number must not meet them row by row.
     """
     scope = inputs.scope
     memo_1, memo_2 = F.substring("memo", 1, 1), F.substring("memo", 2, 1)
@@ -101,8 +103,7 @@ def margin_trades(inputs: Inputs) -> DataFrame:
     sale = F.struct(F.col("sal_shdr_acct").alias("sec_acct"), F.col("sal_aply_nbr").alias("aply_nbr"))
     back = F.struct(F.col("b_shr_acct").alias("sec_acct"), F.col("buy_aply_nbr").alias("aply_nbr"))
     orders = (
-        inputs.table("h_sec_trad")
-        .filter(scope.in_period("trad_date"))
+        inputs.in_period("h_sec_trad", "trad_date")
         .filter(is_sale | is_return)
         .select(
             "trad_date", "trad_nbr", security_code(F.col("sec_cde")).alias("sec_cde"),
@@ -117,17 +118,20 @@ def margin_trades(inputs: Inputs) -> DataFrame:
         .groupBy("trad_date", "trad_nbr", "aply_nbr", "sec_acct")
         .agg(F.sum("n").alias("n"))
     )
-    cleared = (
-        inputs.table("clr_stm_dtl")
-        .filter(scope.in_period("trad_date"))
+    orders = inputs.stored(orders, "margin_orders")
+    number = ["trad_date", "trad_nbr", "aply_nbr"]
+    lines = (
+        inputs.in_period("clr_stm_dtl", "trad_date")
         .filter(F.col("result_cde").isin("0000", "8001") & F.col("rcod_type").isin("001", "003"))
-        .withColumn("sec_cde", security_code(F.col("sec_cde1")))
-        .groupBy("trad_date", "trad_nbr", "aply_nbr", "sec_cde")
-        .agg(*_clearing_sums())
     )
-    matched = orders.join(
-        scope.keep_securities(cleared, EXCHANGE_0), ["trad_date", "trad_nbr", "aply_nbr"]
+    if fits_broadcast(orders):
+        lines = lines.join(F.broadcast(orders.select(*number)), number, "left_semi")
+    cleared = (
+        lines.withColumn("sec_cde", security_code(F.col("sec_cde1")))
+        .groupBy(*number, "sec_cde")
+        .agg(*_clearing_sums())
     )
+    matched = orders.join(scope.keep_securities(cleared, EXCHANGE_0), number)
     flows = totals(matched, **{c: F.col(c) * F.col("n") for c in CLEARING_SUMS})
     return _clearing_ledger(flows, "1103", scope.batch)
 
@@ -146,8 +150,7 @@ def transfers(inputs: Inputs) -> DataFrame:
     agreed = F.when(own_price, F.col("trans_vol") * F.col("tran_prc")).otherwise(F.lit(0))
     unpriced = F.when(own_price, F.lit(0)).otherwise(F.col("trans_vol"))
     legs = (
-        inputs.table("h_non_trad_tran")
-        .filter(scope.in_period("trans_date"))
+        inputs.in_period("h_non_trad_tran", "trans_date")
         .filter((F.col("cap_type") == "PT") & (F.col("succ_indc") == "0"))
         .filter(~F.col("aply_nbr").contains("WY") & ~F.col("ata").isin(TRANSFER_OUT_ACCOUNTS))
         .filter(F.col("in_acct") != TRANSFER_IN_ACCOUNT)
@@ -210,8 +213,7 @@ def daily_transfer_lines(inputs: Inputs) -> DataFrame:
         | ((F.col("cap_type") == "PT") & (F.col("trans_type") == "007"))
     )
     daily = (
-        inputs.table("h_sec_tran")
-        .filter(inputs.scope.in_period("trad_date"))
+        inputs.in_period("h_sec_tran", "trad_date")
         .filter(kind)
         .groupBy(
             F.col("shdr_acct").alias("sec_acct"), F.col("sec_cde").alias("raw_cde"),
@@ -356,8 +358,8 @@ def conversion(inputs: Inputs) -> DataFrame:
     scope = inputs.scope
     numbers = ["trad_date", "trad_nbr", "aply_nbr", "trad_time"]
     lines = (
-        inputs.table("h_sec_tran")
-        .filter(scope.in_period("trad_date") & (F.col("trans_type") == "00Y"))
+        inputs.in_period("h_sec_tran", "trad_date")
+        .filter(F.col("trans_type") == "00Y")
         .withColumnRenamed("shdr_acct", "sec_acct")
     )
     bond_legs = (

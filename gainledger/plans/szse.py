@@ -1,8 +1,8 @@
 """Flow rules of exchange 1. Each gives ledger rows: positive volumes, amounts and taxes.
 
 Holding changes come in two generations of one source: integer codes until April 2017, text
-codes and decimal volumes from May 2017. They are normalised to one set, each clipped to its
-own period so that a change never counts twice.
+codes and decimal volumes from May 2017. They are normalised to one set; a row outside the period
+of its generation fails the query, so that no change counts twice and none is lost.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import negative_part, positive_part, security_code
+from ..operators.checks import value_or_fail
 from ..operators.temporal import OPEN_END, valid_on
 from .flows import EXCHANGE_1, Inputs, ledger_rows, price_sums, totals, with_code
 from .listing import allotments, last_day_before_listing, listing_events
@@ -40,8 +41,8 @@ def trades(inputs: Inputs) -> DataFrame:
     """1000: ordinary trades, credit accounts included, lenders of the day left out."""
     scope = inputs.scope
     lines = (
-        inputs.table("s_clr_trans_trad")
-        .filter(scope.in_period("trad_date") & (F.col("shdr_acct") != SETTLEMENT_ACCOUNT))
+        inputs.in_period("s_clr_trans_trad", "trad_date")
+        .filter(F.col("shdr_acct") != SETTLEMENT_ACCOUNT)
         .withColumnRenamed("shdr_acct", "sec_acct")
     )
     lenders = (
@@ -52,21 +53,25 @@ def trades(inputs: Inputs) -> DataFrame:
     fees = sum((F.coalesce(F.col(c), F.lit(0)) for c in BUY_FEES + SELL_FEES), F.lit(0))
     names = ["buy_vol", "sal_vol", "buy_amt", "sal_amt"]
     sums = [*[F.sum(n).alias(n) for n in names], F.sum(fees).alias("tax")]
-    flows = sum_outside_spells(with_code(lines), lenders, "trad_date", sums, [*names, "tax"])
+    flows = sum_outside_spells(inputs, with_code(lines), lenders, "trad_date", sums, [*names, "tax"])
     measures = {n: n for n in [*names, "tax"]}
     return ledger_rows(scope.keep(flows, EXCHANGE_1), EXCHANGE_1, "1000", scope.batch, **measures)
 
 
-def holding_changes(inputs: Inputs) -> DataFrame:
-    """Both generations of the change source in one form; `is_new` tells them apart.
+def holding_changes(inputs: Inputs, first: Column, last: Column) -> DataFrame:
+    """Both generations of the changes from `first` to `last`; `is_new` tells them apart.
 
-    The unit is the seat of an old row and the custody unit of a new one.
+    The unit is the seat of an old row and the custody unit of a new one. The days reach the scan
+    before the generation is checked.
     """
     cutover = F.lit(inputs.tables.cutover).cast("date")
 
     def one_form(name: str, unit: str, is_new: bool) -> DataFrame:
-        return inputs.table(name).select(
-            F.col("chg_date").alias("day"),
+        day = F.col("chg_date")
+        message = F.concat(F.lit(f"{name}: a change outside its generation, on "), day.cast("string"))
+        own = (day >= cutover) if is_new else (day < cutover)
+        return inputs.between(name, "chg_date", first, last).select(
+            value_or_fail(own, day, message).alias("day"),
             F.col("shdr_acct").alias("sec_acct"),
             security_code(F.col("sec_cde")).alias("sec_cde"),
             F.col(unit).alias("unit"),
@@ -76,9 +81,7 @@ def holding_changes(inputs: Inputs) -> DataFrame:
             F.lit(is_new).alias("is_new"),
         )
 
-    old = one_form("s_shdr_hld_chg", "seat_cde", False).filter(F.col("day") < cutover)
-    new = one_form("s_stk_chg", "cstd_unit", True).filter(F.col("day") >= cutover)
-    return old.unionByName(new)
+    return one_form("s_shdr_hld_chg", "seat_cde", False).unionByName(one_form("s_stk_chg", "cstd_unit", True))
 
 
 def daily_changes(inputs: Inputs) -> DataFrame:
@@ -89,8 +92,8 @@ def daily_changes(inputs: Inputs) -> DataFrame:
     """
     scope = inputs.scope
     daily = (
-        holding_changes(inputs)
-        .filter(scope.in_period("day") & F.col("chg_cde").isin(FLOW_CODES))
+        holding_changes(inputs, F.lit(scope.start), F.lit(scope.end))
+        .filter(F.col("chg_cde").isin(FLOW_CODES))
         .groupBy(
             "sec_acct", "sec_cde", "day", "chg_cde", "is_new",
             (F.col("stk_chrc") == INCENTIVE_NATURE).alias("is_incentive"),
@@ -225,16 +228,16 @@ def dividend(inputs: Inputs) -> DataFrame:
     )
 
 
-def conversion(inputs: Inputs) -> DataFrame:
+def conversion(inputs: Inputs, prices: DataFrame | None = None) -> DataFrame:
     """5000: bonds turned into shares.
 
-    Old source: at the conversion price in force on the processing day. New source: at the close
-    of the day, which stands in for the conversion price.
+    Old source: at the conversion price in force on the processing day. New source: at `prices`
+    (sec_cde, day, cls_prc), by default the close of the day, which stands in for that price.
     """
     scope = inputs.scope
     turned = (
-        inputs.table("s_conv_bond_trad")
-        .filter(F.col("biz_sort").isin(CONVERSION_KINDS) & scope.in_period("prcs_date"))
+        inputs.in_period("s_conv_bond_trad", "prcs_date")
+        .filter(F.col("biz_sort").isin(CONVERSION_KINDS))
         .groupBy(F.col("shdr_acct").alias("sec_acct"), "conv_bond_cde", F.col("prcs_date").alias("day"))
         .agg(F.sum("conv_vol").alias("vol"))
     )
@@ -251,15 +254,14 @@ def conversion(inputs: Inputs) -> DataFrame:
         .select("sec_acct", "sec_cde", "vol", F.col("conv_prc").cast("decimal(18,3)").alias("price"))
     )
     settled = (
-        inputs.table("s_dtl_result")
+        inputs.in_period("s_dtl_result", "trad_date")
         .filter((F.col("biz_sort") == "ZQZG") & (F.col("setl_indc") == "Y") & (F.col("setl_vol") > 0))
-        .filter(scope.in_period("trad_date"))
         .groupBy(F.col("shdr_acct").alias("sec_acct"), "sec_cde", F.col("trad_date").alias("day"))
         .agg(F.sum("setl_vol").alias("vol"))
     )
     new = (
         scope.keep(settled, EXCHANGE_1)
-        .join(inputs.close_on(EXCHANGE_1), ["sec_cde", "day"])
+        .join(inputs.close_on(EXCHANGE_1) if prices is None else prices, ["sec_cde", "day"])
         .select("sec_acct", "sec_cde", "vol", F.col("cls_prc").alias("price"))
     )
     flows = totals(old.unionByName(new), buy_vol="vol", buy_amt=F.col("vol") * F.col("price"))

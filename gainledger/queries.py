@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 from .operators.checks import duplicate_keys
 from .operators.store import Workspace
 from .plans import sse, szse, universe
-from .plans.batch import ledger_of, stored_scope, with_shared_sets
+from .plans.batch import Results, ledger_of, run_batch, stored_scope, with_shared_sets
 from .plans.flows import Inputs, Scope
 from .plans.report import (
     PER_SECURITY,
+    REPORT_COLUMNS,
     business_sums,
     classes_at_end,
     commission,
@@ -42,8 +43,10 @@ from .plans.valuation import (
     quote_bounds,
     run_bounds,
 )
-from .sources.jobs import job_row, latest_status
+from .sources.jobs import job_log, job_row, latest_status, read_job, status_log
 from .sources.lists import distinct_items
+from .sources.parquet_tables import ParquetTables, ingest
+from .sources.schemas import JOB
 from .sources.star_tables import StarTables
 
 # The job the queries run: five of the seven years, all accounts and all A-shares, both exchanges.
@@ -58,12 +61,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Whole decimals and counts as long, other decimals as double, dates as text."""
+    """Whole decimals and counts as long, other decimals as double, dates and times as text."""
     columns = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DecimalType):
             kind = "bigint" if f.dataType.scale == 0 else "double"
-        elif isinstance(f.dataType, T.DateType):
+        elif isinstance(f.dataType, (T.DateType, T.TimestampType)):
             kind = "string"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             kind = "bigint"
@@ -114,6 +117,18 @@ def on_inputs(make: Callable[[Inputs], DataFrame]) -> Query:
     return lambda spark, folder: plain(make(inputs_of(spark, folder)))
 
 
+def on_dates(make: Callable[[Inputs], DataFrame]) -> Query:
+    """For what reads the run's period only: its universes are not stored."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        tables = StarTables(spark, folder)
+        nothing = spark.createDataFrame([], "exch string, sec_acct string, sec_cde string")
+        scope = Scope(BATCH, START, END, nothing.select("sec_acct"), nothing.select("exch", "sec_cde"))
+        return plain(make(Inputs(tables, scope)))
+
+    return query
+
+
 def on_tables(make: Callable[[StarTables], DataFrame]) -> Query:
     return lambda spark, folder: plain(make(StarTables(spark, folder)))
 
@@ -126,7 +141,12 @@ def on_ledger(make: Callable[[Inputs, DataFrame], DataFrame]) -> Query:
 
 
 def date_range_scan(inputs: Inputs) -> DataFrame:
-    lines = inputs.table("clr_stm_dtl").filter(inputs.scope.in_period("trad_date"))
+    """Clearing lines of the period from the stored layout: the month folders select the files."""
+    derived = inputs.tables.table("clr_stm_dtl")
+    root = Workspace(derived.sparkSession).root
+    ingest(derived, root, "clr_stm_dtl")
+    inputs = replace(inputs, tables=ParquetTables(derived.sparkSession, root))
+    lines = inputs.in_period("clr_stm_dtl", "trad_date")
     return lines.groupBy("trad_date").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("clr_amt").alias("clr_amt")
     )
@@ -204,11 +224,62 @@ def profits(inputs: Inputs, ledger: DataFrame) -> DataFrame:
     )
 
 
+# --- whole batch runs -----------------------------------------------------------------------
+
+LISTS = {"instruments.txt": "security_list", "accounts.txt": "account_list", "owners.txt": "owner_list"}
+
+
+def batch_results(spark: SparkSession, folder: str, runs: int = 1, **job) -> Results:
+    """The results of a job as a user runs it: uploaded lists as text, a job row, `run_batch`.
+
+    Everything is below the run's own folder. Running again replaces the slices of the batch.
+    """
+    tables, root = StarTables(spark, folder), Workspace(spark).root
+    for file, view in LISTS.items():
+        lines = tables.table(view).select(F.coalesce("item_nbr", F.lit("")).alias("value"))
+        lines.write.text(f"{root}/lists/{file}")
+    row = dict(batch=BATCH, s_date=START, e_date=END, exclusion="00000000", calc_user="user1", status="0", **job)
+    log = spark.createDataFrame([tuple(row.get(f.name) for f in JOB.fields)], JOB)
+    log.write.parquet(f"{root}/jobs")
+    entered = read_job(job_log(spark, f"{root}/jobs"), BATCH)
+    for _ in range(runs):
+        run_batch(spark, entered, tables, f"{root}/out", f"{root}/lists")
+    return Results(spark, f"{root}/out")
+
+
+def batch_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Uploaded instruments and accounts, both exchanges."""
+    results = batch_results(
+        spark, folder, obj_type="2", obj_content="instruments.txt", invst_sort=universe.ACCOUNT,
+        invst_content="accounts.txt", exch="3", commission=RATE,
+    )
+    return plain(results.slice("report", batch=BATCH).select(*REPORT_COLUMNS))
+
+
+def batch_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Uploaded owners, run twice: the second run replaces what the first one wrote."""
+    results = batch_results(
+        spark, folder, runs=2, obj_type="1", obj_content=universe.A_SHARE, invst_sort=universe.OWNER,
+        invst_content="owners.txt", exch="3", commission=RATE,
+    )
+    return plain(results.ledger().filter(F.col("batch") == BATCH))
+
+
+def batch_investors(spark: SparkSession, folder: str) -> DataFrame:
+    """Investor classes given as a comma list, one exchange; with the batch's last status."""
+    results = batch_results(
+        spark, folder, obj_type="1", obj_content="2", invst_sort="3", invst_content=", ".join(CLASSES),
+        exch="1", commission=Decimal(0),
+    )
+    status = latest_status(status_log(spark, results.status_path)).select("batch", "status")
+    return plain(results.slice("investors", batch=BATCH).join(status, "batch").select("prmt_type", "prmt_val", "status"))
+
+
 QUERIES: dict[str, Query] = {
     # scans and sources
     "q_job_params": on_tables(lambda t: job_row(t.table("job_log"), BATCH)),
     "q_list_dedupe": on_tables(lambda t: distinct_items(t.table("security_list"))),
-    "q_date_range_scan": on_inputs(date_range_scan),
+    "q_date_range_scan": on_dates(date_range_scan),
     "q_status_latest": on_tables(lambda t: latest_status(t.table("status_event"), "seq")),
     "q_unique_check": on_tables(unique_check),
     # universes
@@ -256,9 +327,9 @@ QUERIES: dict[str, Query] = {
     "q_net_change": on_ledger(lambda _, ledger: net_change(ledger)),
     "q_ledger_all": on_ledger(lambda _, ledger: ledger),
     # report
-    "q_latest_account": on_inputs(latest_accounts),
-    "q_class_asof": on_inputs(classes_at_end),
-    "q_flag_executive": on_inputs(executives),
+    "q_latest_account": on_dates(latest_accounts),
+    "q_class_asof": on_dates(classes_at_end),
+    "q_flag_executive": on_dates(executives),
     "q_flag_lockup": on_inputs(unlocked_holders),
     "q_top10_holder": on_inputs(top_holders_at_end),
     "q_flag_top10_literal": on_inputs(top_holder_flags),
@@ -266,4 +337,8 @@ QUERIES: dict[str, Query] = {
     "q_commission": on_ledger(commissions),
     "q_profit": on_ledger(profits),
     "q_final_report": on_ledger(report),
+    # whole runs
+    "q_batch_report": batch_report,
+    "q_batch_ledger": batch_ledger,
+    "q_batch_investors": batch_investors,
 }

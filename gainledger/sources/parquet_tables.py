@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import right_trimmed
 from .schemas import BUSINESS_DATE, SOURCES
 
+MONTH = "data_month"  # year x 100 + month of the business date
+BY_MONTH = set(BUSINESS_DATE) - {"hold_his"}
 DEFAULT_CUTOVER = "2017-05-01"  # first day of the new generation of exchange-1 changes
 
 
+def month_of(day: Column) -> Column:
+    return F.year(day) * 100 + F.month(day)
+
+
 class ParquetTables:
     """Tables read by name with their declared schema; nothing is inferred."""
 
@@ -20,7 +27,11 @@ class ParquetTables:
         self.cutover = cutover
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.root}/{name}")
+        """A table as declared; tables of dated rows also have the month they are laid out by."""
+        fields = list(SOURCES[name].fields)
+        if name in BY_MONTH:
+            fields.append(T.StructField(MONTH, T.IntegerType()))
+        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/{name}")
 
 
 def normalised(raw: DataFrame, name: str) -> DataFrame:
@@ -32,11 +43,19 @@ def normalised(raw: DataFrame, name: str) -> DataFrame:
 def ingest(raw: DataFrame, root: str, name: str) -> None:
     """Write one source table in the layout the rules read best.
 
-    Rows are sorted by their business date inside each task, without a shuffle: the min/max
-    statistics of the row groups then skip other periods, and a very busy day needs no task of
-    its own.
+    Dated rows get a folder for each month. They are rebalanced by month first, so that a month
+    has few files and a very busy one is still written by many tasks, and sorted by day inside
+    each task, so that the statistics of the row groups skip other days. Holdings are valid over
+    periods instead; they are only sorted.
     """
     table = normalised(raw, name)
-    if name in BUSINESS_DATE:
-        table = table.sortWithinPartitions(BUSINESS_DATE[name])
-    table.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+    day = BUSINESS_DATE.get(name)
+    if name in BY_MONTH:
+        table = table.withColumn(MONTH, month_of(F.col(day))).hint("rebalance", MONTH)
+        table = table.sortWithinPartitions(MONTH, day)
+    elif day:
+        table = table.sortWithinPartitions(day)
+    writer = table.write.mode("overwrite")
+    if name in BY_MONTH:
+        writer = writer.partitionBy(MONTH)
+    writer.parquet(f"{root.rstrip('/')}/{name}")

@@ -329,7 +329,7 @@ VIEWS: dict[str, str] = {
                AS invst_content,
              CASE WHEN o_custkey % 3 = 2 THEN '3' ELSE CAST(o_custkey % 3 AS STRING) END AS exch,
              CAST(0.002 AS DECIMAL(6,5)) AS commission, '00000000' AS exclusion,
-             'user1' AS calc_user, '0' AS status
+             CAST(o_orderdate AS TIMESTAMP) AS calc_time, 'user1' AS calc_user, '0' AS status
       FROM {{orders}}""",
     "status_event": f"""
       SELECT {_code('user_id')} AS batch, event_id AS seq,

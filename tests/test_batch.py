@@ -8,9 +8,11 @@ import pytest
 from conftest import day, frame
 from pyspark.sql import functions as F
 
+from gainledger.operators.checks import DuplicateKeyError
 from gainledger.plans.batch import Results, run_batch
 from gainledger.plans.valuation import boundary_holdings
 from gainledger.sources.jobs import DONE, FAILED, job_log, latest_status, read_job, status_log
+from gainledger.sources.lists import RejectedLinesError
 from gainledger.sources.parquet_tables import ParquetTables, ingest
 from gainledger.sources.schemas import JOB, SOURCES
 from gainledger.sources.star_tables import CUTOVER, StarTables
@@ -121,6 +123,58 @@ def test_second_run_gives_the_same_and_spares_other_batches(spark, done):
     assert snapshot(results.ledger()) == before
 
 
+def test_intermediate_tables_are_removed(spark, world, monkeypatch):
+    from pathlib import Path
+
+    from gainledger.operators.store import shared_folder
+
+    below = Path(shared_folder(spark).removeprefix("file://")) / "gainledger"
+    before = set(below.iterdir())
+    execute(spark, world, "000004")
+    assert set(below.iterdir()) <= before
+    monkeypatch.setattr("gainledger.plans.batch.final_report", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        execute(spark, world, "000004")
+    assert set(below.iterdir()) <= before
+    monkeypatch.undo()
+    execute(spark, world, "000004")
+
+
+def test_rejected_lines_are_kept(spark, world, tmp_path):
+    log, tables, results, lists = world
+    for name in ("instruments.txt", "accounts.txt"):
+        (tmp_path / name).write_text("600000\n" + "x" * 30)
+    with pytest.raises(RejectedLinesError):
+        run_batch(spark, read_job(log, "000004"), tables, str(tmp_path / "out"), str(tmp_path))
+    kept = spark.read.parquet(str(tmp_path / "out/rejects/instruments/batch=000004"))
+    assert [r.reject_reason for r in kept.collect()] == ["item too long"]
+
+
+def test_slices_are_read_by_their_own_path(spark, done):
+    (_, _, results, _), _ = done
+    whole = results.ledger().filter("batch = '000001' AND exch = '1'")
+    part = results.slice("ledger", batch="000001", exch="1")
+    assert snapshot(part.select(*whole.columns)) == snapshot(whole)
+    listed = part.inputFiles()
+    assert listed and all("batch=000001/exch=1" in path for path in listed)
+
+
+def test_codes_of_both_exchanges_fail(spark, world):
+    log, tables, results, lists = world
+
+    class Doubled:
+        cutover = tables.cutover
+
+        def table(self, name):
+            rows = tables.table(name)
+            if name != "sec_info":
+                return rows
+            return rows.unionByName(rows.withColumn("mkt_sort", F.when(F.col("mkt_sort") == "0", "1").otherwise("0")))
+
+    with pytest.raises(DuplicateKeyError, match="both exchanges"):
+        run_batch(spark, read_job(log, "000001"), Doubled(), results.root + "-doubled", lists)
+
+
 def test_failure_is_recorded(spark, world):
     from dataclasses import replace
 

@@ -26,10 +26,10 @@ def engine():
 
 @pytest.fixture(scope="module", autouse=True)
 def one_ledger_for_all():
-    """The queries over the ledger differ only in what they do with it."""
+    """The queries over one ledger differ only in what they do with it."""
     make = registry._with_ledger
-    whole = functools.cache(lambda spark, folder: make(spark, folder))
-    registry._with_ledger = lambda spark, folder, *_: whole(spark, folder)
+    whole = functools.cache(lambda spark, folder, exchanges: make(spark, folder, list(exchanges)))
+    registry._with_ledger = lambda spark, folder, exchanges=registry.EXCHANGES: whole(spark, folder, tuple(exchanges))
     yield
     registry._with_ledger = make
 

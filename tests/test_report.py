@@ -47,6 +47,43 @@ def test_latest_account_and_class(run):
     assert rows(classes_at_end(inputs), "sec_acct", "clsf_3") == [("A1", "1110")]
 
 
+def test_tied_versions_must_agree(run):
+    same = run(intg_sec_acct=[ACCOUNT, ACCOUNT | dict(e_date="2018-01-01")])
+    assert rows(latest_accounts(same), "sec_acct", "sec_acct_name") == [("A1", "first")]
+    tied = run(intg_sec_acct=[ACCOUNT, ACCOUNT | dict(sec_acct_name="second")])
+    with pytest.raises(Exception, match="versions tied on their start: sec_acct A1"):
+        latest_accounts(tied).collect()
+
+
+def test_overlapping_classes_must_agree(run):
+    same = run(invst_clsf_his=[CLASS, CLASS | dict(s_date="2012-01-01")])
+    assert rows(classes_at_end(same), "sec_acct", "clsf_3") == [("A1", "2810")]
+    other = run(invst_clsf_his=[CLASS, CLASS | dict(clsf_3="1110")])
+    with pytest.raises(Exception, match="overlapping classes: sec_acct A1"):
+        classes_at_end(other).collect()
+
+
+def test_blank_owners_share_their_flags(run):
+    """As in the source system: accounts without an owner count as one owner."""
+    accounts = [ACCOUNT | dict(oap_acct_nbr=""), ACCOUNT | dict(sec_acct="A2", oap_acct_nbr="")]
+    inputs = run(intg_sec_acct=accounts, h_dse_trad_lmt=[dict(shdr_acct="A1", sec_cde=600000)])
+    assert rows(executives(inputs), "oap_acct_nbr", "sec_cde") == [("", "600000")]
+
+
+def test_only_increases_with_a_released_key_are_exchanged(run):
+    """The keys of the decreases filter the increases below the final exchange."""
+    from gainledger.plans.szse import UNLOCK_CODE
+
+    released = OLD | dict(chg_cde=UNLOCK_CODE, chg_vol=-5, stk_chrc="01")
+    changes = [released, OLD | dict(chg_vol=5)] + [OLD | dict(chg_vol=7)] * 50
+    info = dict(mkt_sort="1", sec_cde="000001", mkt_lvl_sort="1", sec_ctg="11", s_date="2000-01-01", e_date="3000-12-31")
+    inputs = run(s_shdr_hld_chg=changes, sec_info=[info], tdsum_date_exchange=CALENDAR)
+    found = unlocked_holders(inputs)
+    assert rows(found, "exch", "sec_acct", "sec_cde") == [("1", "A1", "000001")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+
+
 def test_executives_from_both_exchanges(run):
     accounts = [
         ACCOUNT,

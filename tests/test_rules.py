@@ -220,12 +220,31 @@ NEW = dict(
 
 
 def test_szse_transfer_both_generations(run):
-    old = [OLD, OLD | dict(chg_cde="AOC", chg_vol=-1), OLD | dict(chg_date="2017-05-03")]
-    inputs = run(end="2018-04-01", s_shdr_hld_chg=old, s_stk_chg=[NEW, NEW | dict(chg_date="2016-05-03")])
-    # Rows outside the period of their generation do not count.
+    old = [OLD, OLD | dict(chg_cde="AOC", chg_vol=-1)]
+    inputs = run(end="2018-04-01", s_shdr_hld_chg=old, s_stk_chg=[NEW])
     assert measures(szse.transfers(inputs)) == {("A1", "000001"): (70, 31, 0, 0, 0)}
 
 
+@pytest.mark.parametrize(
+    "rows",
+    [
+        dict(s_shdr_hld_chg=[OLD, OLD | dict(chg_date="2017-05-03")]),
+        dict(s_stk_chg=[NEW, NEW | dict(chg_date="2016-05-03")]),
+    ],
+)
+def test_change_outside_its_generation_fails(run, rows):
+    with pytest.raises(Exception, match="outside its generation"):
+        szse.transfers(run(end="2018-04-01", **rows)).collect()
+
+
+def test_bond_conversion_at_given_prices(run, spark):
+    settled = dict(shdr_acct="A1", biz_sort="ZQZG", sec_cde="000001", setl_vol=10, setl_indc="Y", trad_date="2016-05-03")
+    inputs = run(s_dtl_result=[settled], sec_quot=[quote("2016-05-03", 12, "000001", "1")])
+    assert measures(szse.conversion(inputs)) == {("A1", "000001"): (10, 0, 120, 0, 0)}
+    given = spark.sql("SELECT '000001' AS sec_cde, DATE '2016-05-03' AS day, CAST(7 AS DECIMAL(18,3)) AS cls_prc")
+    assert measures(szse.conversion(inputs, given)) == {("A1", "000001"): (10, 0, 70, 0, 0)}
+
+
 def test_szse_follow_on_and_incentive(run):
     old = OLD | dict(chg_cde="A30", chg_date="2016-04-29", chg_vol=100)
     rows = [old, old | dict(stk_chrc="02", chg_vol=7), old | dict(chg_cde="A44")]

@@ -10,14 +10,16 @@ from test_rules import CALENDAR, CLEARING, HOLDING, LINE, OLD, QUOTES, TRANSFER,
 
 from gainledger.operators import sizing
 from gainledger.operators.sizing import broadcast_if_small, fits_broadcast
-from gainledger.plans import flows, sse, szse
+from gainledger.plans import batch, flows, report, sse, szse
 
 
 @pytest.fixture
 def no_broadcast(spark, monkeypatch):
     """Every lookup counts as too large, for our own check and for the planner."""
     monkeypatch.setattr(sse, "fits_broadcast", lambda df: False)
-    monkeypatch.setattr(flows, "broadcast_if_small", lambda df: df)
+    for module in (flows, batch, report):
+        monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(report, "fits_broadcast", lambda df: False)
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for name in names:
         spark.conf.set(name, "-1")
@@ -80,6 +82,33 @@ def test_hot_trade_number_costs_no_pairs(run, no_broadcast):
     }
 
 
+def test_few_orders_filter_the_clearing_lines_before_the_sum(run):
+    trade = dict(
+        trad_nbr=1, trad_date="2016-05-03", sec_cde=600000, b_shr_acct="E1", buy_aply_nbr="1",
+        sal_shdr_acct="A1", sal_aply_nbr="1", memo="50",
+    )
+    inputs = run(accounts=("E1",), h_sec_trad=[trade], clr_stm_dtl=[CLEARING, CLEARING | dict(trad_nbr=2)])
+    result = sse.margin_trades(inputs)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    cleared = plan[plan.index("trad_date") :]
+    assert cleared.rindex("Aggregate") < cleared.rindex("LeftSemi")
+    assert measures(result) == {("E1", "600000"): (0, 100, 0, 1200, 3)}
+
+
+def test_report_flags_without_broadcast(run, no_broadcast):
+    from test_report import ACCOUNT
+
+    account = ACCOUNT | dict(sec_acct="A1")
+    inputs = run(
+        intg_sec_acct=[account, account | dict(mkt_sort="1", cert_nbr="ID000009", oap_acct_nbr="O9")],
+        hold_his=[HOLDING],
+        szse_excut_info=[dict(comp_cde="000001", cert_nbr="ID000009 ")],
+    )
+    assert [tuple(r) for r in report.executives(inputs).collect()] == [("O9", "000001")]
+    owners = inputs.tables.table("intg_sec_acct").select("oap_acct_nbr").distinct()
+    assert [tuple(r) for r in report.top_holder_flags(inputs, only=owners).collect()] == [("O1", "600000")]
+
+
 def test_hot_conversion_number(run, no_broadcast):
     bond = LINE | dict(cap_type="GZ", trans_type="00Y", trad_dirc="S", sec_cde=110001)
     stock = LINE | dict(cap_type="PT", trans_type="00Y", trans_vol=50, tran_prc=8)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import FakeTables, day, frame
+from pyspark.sql import functions as F
 
 from gainledger.functions.columns import security_code
 from gainledger.operators.checks import DuplicateKeyError, duplicate_keys, require_unique
@@ -177,6 +178,35 @@ def test_history_is_half_open(spark):
     assert sorted(days) == ["2016-04-01", "2016-04-30"]
 
 
+def test_period_selects_month_folders(spark, tmp_path):
+    from datetime import date
+
+    from gainledger.plans.flows import period_rows
+
+    days = [f"2016-{m:02d}-{d:02d}" for m in range(1, 13) for d in (1, 15, 28)]
+    raw = spark.createDataFrame([("0", "600000", d, "8.5") for d in days], "sec_exch_cde string, sec_cde string, trad_date string, cls_prc string")
+    ingest(raw, str(tmp_path), "sec_quot")
+    table = ParquetTables(spark, str(tmp_path)).table("sec_quot")
+    rows = period_rows(table, "trad_date", F.lit(date(2016, 3, 10)), F.lit(date(2016, 4, 20)))
+    assert [str(r.trad_date) for r in rows.orderBy("trad_date").collect()] == ["2016-03-15", "2016-03-28", "2016-04-01", "2016-04-15"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_month" in plan
+    assert len(list((tmp_path / "sec_quot").glob("data_month=*"))) == 12
+
+
+def test_busy_month_is_written_by_many_tasks(spark, tmp_path):
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    raw = spark.range(60_000).selectExpr(
+        "'0' AS sec_exch_cde", "lpad(id, 6, '0') AS sec_cde", "'2016-05-03' AS trad_date", "id * 0.01 AS cls_prc"
+    )
+    ingest(raw, str(tmp_path), "sec_quot")
+    for name in settings:
+        spark.conf.unset(name)
+    assert len(list((tmp_path / "sec_quot/data_month=201605").glob("*.parquet"))) > 1
+
+
 def test_ingest_trims_and_types(spark, tmp_path):
     raw = spark.createDataFrame([("0 ", "600000  ", "2016-04-05", "12.5")], "sec_exch_cde string, sec_cde string, trad_date string, cls_prc string")
     ingest(raw, str(tmp_path), "sec_quot")
