@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -48,10 +48,25 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def remove(self) -> None:
-        """Deletes the tables of this run; what was read from them must be written by then."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def inner(self) -> Workspace:
+        """A workspace below this one, for a step that removes what it needs no longer."""
+        below = Workspace(self.spark)
+        below.root = f"{self.root}/{uuid.uuid4().hex}"
+        return below
+
+    def remove(self, keep: Collection[str] = ()) -> None:
+        """Deletes the tables of this run, but for those named in `keep`.
+
+        What was read from the others must be written by then.
+        """
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not keep:
+            files.delete(root, True)
+        elif files.exists(root):
+            for entry in files.listStatus(root):
+                if entry.getPath().getName() not in keep:
+                    files.delete(entry.getPath(), True)
 
     def store_all(self, makers: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Store tables that do not depend on each other side by side.
