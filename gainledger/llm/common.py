@@ -13,6 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Rows of a narrow lookup side that may be broadcast once they are counted: some 30 MB.
 LOOKUP_ROWS = 200_000
+# Rows of text in an Arrow batch.
+TEXTS_PER_BATCH = 2_000
 # Narrow rows that a task takes at least in steps over tables whose size is known.
 ROWS_PER_TASK = 20_000
 
@@ -31,6 +33,26 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def to_python(rows: DataFrame) -> DataFrame:
+    """`rows`, to be handed to Python in batches of bounded size: rows of text are long.
+
+    Lowers the session's bound on rows per Arrow batch, on which the memory of a task depends on
+    both sides.
+    """
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXTS_PER_BATCH:
+        conf.set(name, str(TEXTS_PER_BATCH))
+    return rows
+
+
 def tasks_for(rows: int) -> int:
     """Tasks for a step over so many narrow rows, so that small tables aren't dealt out to many."""
     return max(1, -(-rows // ROWS_PER_TASK))

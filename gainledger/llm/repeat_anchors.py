@@ -6,12 +6,16 @@ that share LENGTH bytes have an anchor at the same place inside them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 # Bytes that count as a repeat, bytes of an anchor, and how far a repeat reaches beyond its anchor.
 LENGTH = 50
 GRAM = 16
 REACH = LENGTH - GRAM
+# Bytes whose hashes are held at once.
+PIECE_BYTES = 1 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -40,8 +44,41 @@ def _gram_hashes(raw: np.ndarray) -> np.ndarray:
     return hashed | np.uint64(1)
 
 
+def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(text number, begin, bytes) in groups of bounded size; pieces of a long text overlap so that
+    every LENGTH bytes in a row are in one of them."""
+    held, size = [], 0
+    for number, text in enumerate(texts):
+        for begin in range(0, max(1, len(text) - LENGTH + 1), PIECE_BYTES):
+            piece = text[begin : begin + PIECE_BYTES + LENGTH - 1]
+            held.append((number, begin, piece))
+            size += len(piece)
+            if size >= PIECE_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text number, position in the text) of all anchors, text by text, in order."""
+    found = []
+    for pieces in _pieces(texts):
+        hashed, piece, position = _anchors_of([p for *_, p in pieces])
+        number, begin = (np.array([p[i] for p in pieces], np.int64) for i in (0, 1))
+        found.append((hashed, number[piece], position + begin[piece]))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashed, text, position = (np.concatenate(c) for c in zip(*found, strict=True))
+    if any(len(t) >= PIECE_BYTES + LENGTH for t in texts):  # overlaps have theirs twice
+        order = np.lexsort((position, text))
+        hashed, text, position = hashed[order], text[order], position[order]
+        new = np.append(True, (text[1:] != text[:-1]) | (position[1:] != position[:-1]))[: len(text)]
+        hashed, text, position = hashed[new], text[new], position[new]
+    return hashed, text, position
+
+
+def _anchors_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64)
     none = np.zeros(0, np.int64)
     if not len(ends) or ends[-1] < LENGTH:

@@ -20,17 +20,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
+from .common import lookup, to_python
 from .repeat_anchors import LENGTH, REACH, anchors, begins_of, column_wise, contexts, covered
 
 # Bytes of text that a task handles at once, and that share one bucket of anchor hashes.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 64 << 20
+LEAST_BUCKETS = 16
 # Surroundings compared at once, and of one anchor at most; beyond that its strings are compared by
 # a grouping that has no large groups.
-TOGETHER = 100_000
+TOGETHER = 30_000
 MOST_OF_ANCHOR = 400_000
-# Bytes of the hash that names a text, and the order of documents without an id.
-NAME_BYTES = 12
+# Hexadecimal digits of a text's hash that make its number.
+NUMBER_DIGITS = 15
+# The order of documents without an id.
 LAST = (1 << 63) - 1
 
 LOW = np.uint64(0xFFFFFFFF)
@@ -64,24 +67,46 @@ def _lists(values: np.ndarray, edges: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values, kind))
 
 
-def distinct_texts(rows: DataFrame, work: Workspace) -> DataFrame:
-    """(name, ord, text) of every different text, with the smallest order of its documents.
+def numbered(rows: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """`rows` (id, ord, hex, text) with a number for each different text, and the stored narrow
+    rows (id, ord, num, name, n_bytes).
 
-    Stored in buckets of the name, so that what later steps find out about texts comes to the texts
-    without moving them again.
+    The number is a part of the text's hash, `name` another one. Where two texts get one number,
+    which is found out over all rows, those texts are numbered by another part of the hash.
+    """
+    first = F.conv(F.substring("hex", 1, NUMBER_DIGITS), 16, 10).cast("long")
+    other = -F.conv(F.substring("hex", 49, 15), 16, 10).cast("long") - 1
+    rows = rows.withColumns({"num": first, "name": F.unhex(F.substring("hex", 17, 32))})
+    narrow = ["id", "ord", "num", "name", F.octet_length("text").cast("long").alias("n_bytes")]
+    listed = work.store(rows.select(*narrow), "repeat_rows")
+    shared = listed.groupBy("num").agg((F.min("name") != F.max("name")).alias("clash")).filter("clash")
+    shared = work.store(shared.select(F.col("num").alias("c_num"), "clash"), "repeat_clashes")
+    if shared.take(1):
+        rows = rows.join(lookup(shared), F.col("num") == F.col("c_num"), "left")
+        rows = rows.withColumn("num", F.when(F.col("clash"), other).otherwise(F.col("num"))).drop("c_num", "clash")
+        listed = work.store(rows.select(*narrow), "repeat_renumbered")
+    return rows.drop("hex"), listed
+
+
+def distinct_texts(rows: DataFrame, work: Workspace) -> tuple[str, DataFrame]:
+    """The table (num, ord, text) of the different texts, with the smallest order of each.
+
+    Stored in buckets of the number, so that what later steps find out about texts comes to the texts
+    without moving them again. The sum by number deals the rows out as the buckets do, so that every
+    bucket is one file.
     """
     spark = rows.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.groupBy("name").agg(F.min("ord").alias("ord"), F.any_value("text").alias("text"))
+    texts = rows.groupBy("num").agg(F.min("ord").alias("ord"), F.any_value("text").alias("text"))
     table = f"distinct_texts_{uuid.uuid4().hex}"
     (
         texts.write.option("path", f"{work.root}/{table}")
         .option("compression", "zstd")
-        .bucketBy(buckets, "name")
-        .sortBy("name")
+        .bucketBy(buckets, "num")
+        .sortBy("num")
         .saveAsTable(table)
     )
-    return spark.table(table)
+    return table, spark.table(table)
 
 
 def _anchor_rows(buckets: int):
@@ -89,7 +114,7 @@ def _anchor_rows(buckets: int):
         """Anchor hashes of texts, by bucket; hashes met in two texts of a chunk are known to repeat,
         so one of their texts stands for all in the bucket, and all are told at once."""
         for batch in _chunks(batches, 1):
-            names = np.array(_bytes_of(batch.column(0)), object)
+            nums = batch.column(0).to_numpy()
             hashed, text, _ = anchors(_bytes_of(batch.column(1)))
             order = np.argsort(hashed, kind="stable")
             hashed, text = hashed[order], text[order]
@@ -97,14 +122,14 @@ def _anchor_rows(buckets: int):
             begin, end = edges[:-1], edges[1:]
             if not len(begin):
                 continue
-            out: list[list] = [[], [], [], [], []]  # bucket, name, names, counts, keys
+            out: list[list] = [[], [], [], [], []]  # bucket, num, nums, counts, keys
             several = text[begin] != text[end - 1]
             known = np.repeat(several, end - begin)
             pair = np.unique((text[known].astype(np.uint64) << np.uint64(32)) | (hashed[known] >> np.uint64(32)))
             whose, keys = (pair >> np.uint64(32)).astype(np.int64), (pair & LOW).astype("<u4")
             edges = _runs(whose)
             for a, b in zip(edges, edges[1:], strict=False):
-                for column, value in zip(out, (None, names[whose[a]], None, None, keys[a:b].tobytes()), strict=True):
+                for column, value in zip(out, (None, int(nums[whose[a]]), None, None, keys[a:b].tobytes()), strict=True):
                     column.append(value)
             bucket = (hashed[begin] % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((text[begin], bucket))
@@ -115,14 +140,14 @@ def _anchor_rows(buckets: int):
                 values = (
                     int(bucket[a]),
                     None,
-                    b"".join(names[whose[a:b][inner[:-1]]]),
+                    nums[whose[a:b][inner[:-1]]].tobytes(),
                     np.diff(inner).astype("<u4").tobytes(),
                     keys[a:b].tobytes(),
                 )
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["bucket", "name", "names", "counts", "keys"])
+            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["bucket", "num", "nums", "counts", "keys"])
 
     return read
 
@@ -131,7 +156,7 @@ def _repeated_in_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     """The keys of each text that other texts of the bucket have, too; rows come sorted by bucket."""
 
     def told(rows: list[tuple]) -> pa.RecordBatch | None:
-        names = b"".join(r[0] for r in rows)
+        nums = np.frombuffer(b"".join(r[0] for r in rows), np.int64)
         counts = np.frombuffer(b"".join(r[1] for r in rows), "<u4").astype(np.int64)
         keys = np.frombuffer(b"".join(r[2] for r in rows), "<u4")
         order = np.argsort(keys, kind="stable")
@@ -143,9 +168,8 @@ def _repeated_in_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         whose = np.repeat(np.arange(len(counts)), counts)[again]
         edges = _runs(whose)
         found = keys[again]
-        name = [names[NAME_BYTES * w : NAME_BYTES * (w + 1)] for w in whose[edges[:-1]].tolist()]
         parts = [found[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-        return pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), pa.array(parts, pa.binary())], ["name", "keys"])
+        return pa.RecordBatch.from_arrays([pa.array(nums[whose[edges[:-1]]]), pa.array(parts, pa.binary())], ["num", "keys"])
 
     now, held = None, []
     for batch in batches:
@@ -160,7 +184,9 @@ def _repeated_in_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield rows
 
 
-CONTEXT = "key long, context binary, first int, last int, ord long, name binary, positions array<int>"
+# `range` holds the first and the last column in which a string may begin, as first x 64 + last.
+CONTEXT = "key long, context binary, range int, ord long, num long, positions array<int>"
+CONTEXT_NAMES = ["key", "context", "range", "ord", "num", "positions"]
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +195,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     (rows without context)."""
     spread = 0
     for batch in _chunks(batches, 2):
-        names, orders = batch.column(0), batch.column(1).to_numpy()
+        nums, orders = batch.column(0), batch.column(1).to_numpy()
         texts = _bytes_of(batch.column(2))
         hashed, text, position = anchors(texts)
         wanted = [np.frombuffer(b"".join(keys), "<u4") for keys in batch.column(3).to_pylist()]
@@ -203,13 +229,12 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [
                 pa.array(hashed[lead].view(np.int64)),
                 pa.array([m.tobytes() for m in matrix[lead]], pa.binary()),
-                pa.array(first[lead].astype(np.int32)),
-                pa.array(last[lead].astype(np.int32)),
+                pa.array((first * 64 + last)[lead].astype(np.int32)),
                 pa.array(orders[text[lead]]),
-                names.take(pa.array(text[lead])),
+                nums.take(pa.array(text[lead])),
                 _lists(position[sent].astype(np.int32), pair, pa.int32()),
             ],
-            ["key", "context", "first", "last", "ord", "name", "positions"],
+            CONTEXT_NAMES,
         )
         yield rows
         rest = np.flatnonzero(~sent)
@@ -224,23 +249,22 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     pa.array(hashed[lead].view(np.int64) + spread),
                     pa.nulls(n, pa.binary()),
                     pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.int64()),
-                    names.take(pa.array(text[lead])),
+                    pa.array(orders[text[lead]]),
+                    nums.take(pa.array(text[lead])),
                     _lists(position[rest].astype(np.int32), edges, pa.int32()),
                 ],
-                ["key", "context", "first", "last", "ord", "name", "positions"],
+                CONTEXT_NAMES,
             )
 
 
-FOUND = "name binary, positions array<int>, mask long, string binary, ord long"
-FOUND_KINDS = [pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.int64()]
+FOUND = "num long, ord long, positions array<int>, mask long, string binary"
 
 
-def _found(name: pa.Array, positions: pa.Array, mask=None, string=None, order=None) -> pa.RecordBatch:
-    columns = [name, positions, mask, string, order]
-    columns = [pa.nulls(len(name), k) if c is None else pa.array(c, k) if not isinstance(c, pa.Array) else c for c, k in zip(columns, FOUND_KINDS, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, ["name", "positions", "mask", "string", "ord"])
+def _found(rows: pa.RecordBatch, mask: np.ndarray, strings: list[bytes] | None = None) -> pa.RecordBatch:
+    """Context rows with the columns in which repeats begin, or with one string each."""
+    string = pa.nulls(len(mask), pa.binary()) if strings is None else pa.array(strings, pa.binary())
+    columns = [rows.column(4), rows.column(3), rows.column(5), pa.array(mask, pa.int64()), string]
+    return pa.RecordBatch.from_arrays(columns, ["num", "ord", "positions", "mask", "string"])
 
 
 def _as_matrix(contexts: pa.Array) -> np.ndarray:
@@ -252,22 +276,20 @@ def _compared(rows: pa.RecordBatch) -> pa.RecordBatch:
     keys = rows.column(0).to_numpy()
     edges = _runs(keys)
     group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    first, last, order = (rows.column(i).to_numpy() for i in (2, 3, 4))
-    mask = column_wise(_as_matrix(rows.column(1)), group, first, last, order)
-    hit = pa.array(mask != 0)
-    return _found(rows.column(5).filter(hit), rows.column(6).filter(hit), mask[mask != 0])
+    span, order = rows.column(2).to_numpy(), rows.column(3).to_numpy()
+    mask = column_wise(_as_matrix(rows.column(1)), group, span // 64, span % 64, order)
+    return _found(rows.filter(pa.array(mask != 0)), mask[mask != 0])
 
 
 def _strings(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Every string of LENGTH bytes by itself, with the places in which it begins."""
     matrix = _as_matrix(rows.column(1))
-    first, last = rows.column(2).to_numpy(), rows.column(3).to_numpy()
+    span = rows.column(2).to_numpy()
     for column in range(REACH + 1):
-        valid = (first <= column) & (column <= last)
-        keep = pa.array(valid)
+        valid = (span // 64 <= column) & (column <= span % 64)
         strings = [m.tobytes() for m in matrix[valid, column : column + LENGTH]]
         mask = np.full(len(strings), np.int64(1) << np.int64(column))
-        yield _found(rows.column(5).filter(keep), rows.column(6).filter(keep), mask, strings, rows.column(4).filter(keep))
+        yield _found(rows.filter(pa.array(valid)), mask, strings)
 
 
 def _repeats(most: int):
@@ -279,7 +301,7 @@ def _repeats(most: int):
             settled = pa.array(whole.column(1).is_null())
             done = whole.filter(settled)
             if done.num_rows:
-                yield _found(done.column(5), done.column(6), np.full(done.num_rows, -1, np.int64))
+                yield _found(done, np.full(done.num_rows, -1, np.int64))
             batch = whole.filter(pa.array(whole.column(1).is_valid()))
             if not batch.num_rows:
                 continue
@@ -312,7 +334,7 @@ def _repeats(most: int):
     return read
 
 
-RESULT = "name binary, ord long, n_bytes long, begins array<int>, ends array<int>, kept binary"
+RESULT = "num long, ord long, n_bytes long, begins array<int>, ends array<int>, kept binary"
 
 
 def _removed(digest: bool):
@@ -343,7 +365,7 @@ def _removed(digest: bool):
                 pa.array(ends, pa.list_(pa.int32())),
                 pa.array(kept, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["name", "ord", "n_bytes", "begins", "ends", "kept"])
+            yield pa.RecordBatch.from_arrays(columns, ["num", "ord", "n_bytes", "begins", "ends", "kept"])
 
     return read
 
@@ -364,42 +386,46 @@ def remove_repeats(
     one document as far as copies go. Texts with less than LENGTH bytes are left as they are. An
     empty table gives no rows.
     """
+    work = work.inner()
     body = F.coalesce(F.col(text), F.lit(""))
-    name = F.substring(F.unhex(F.sha2(body, 256)), 1, NAME_BYTES)
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(LAST)).alias("ord"), name.alias("name"), body.alias("text"))
-    listed = work.store(rows.select("id", "ord", "name", F.octet_length("text").cast("long").alias("n_bytes")), "repeat_rows")
+    order = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
+    rows = docs.select(F.col(id).alias("id"), order.alias("ord"), F.sha2(body, 256).alias("hex"), body.alias("text"))
+    rows, listed = numbered(rows, work)
     total = listed.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first().n
-    texts = distinct_texts(rows.select("name", "ord", "text"), work)
+    table, texts = distinct_texts(to_python(rows.select("num", "ord", "text")), work)
 
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    found = texts.select("name", "text").mapInArrow(
-        _anchor_rows(buckets), "bucket int, name binary, names binary, counts binary, keys binary"
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
+    found = texts.select("num", "text").mapInArrow(
+        _anchor_rows(buckets), "bucket int, num long, nums binary, counts binary, keys binary"
     )
     found = work.store(found, "repeat_anchors")
-    sent = found.filter("bucket is not null").select("bucket", "names", "counts", "keys")
-    met = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated_in_bucket, "name binary, keys binary")
-    keys = found.filter("bucket is null").select("name", "keys").unionByName(met)
-    keys = keys.groupBy("name").agg(F.collect_list("keys").alias("keys"))
+    sent = found.filter("bucket is not null").select("bucket", "nums", "counts", "keys")
+    met = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated_in_bucket, "num long, keys binary")
+    keys = found.filter("bucket is null").select("num", "keys").unionByName(met)
+    keys = keys.groupBy("num").agg(F.collect_list("keys").alias("keys"))
 
-    around = texts.join(keys, "name").select("name", "ord", "text", "keys").mapInArrow(_context_rows, CONTEXT)
+    around = texts.join(keys, "num").select("num", "ord", "text", "keys").mapInArrow(_context_rows, CONTEXT)
     around = around.repartition("key").sortWithinPartitions("key")
     repeats = work.store(around.mapInArrow(_repeats(most_of_anchor), FOUND), "repeat_found")
-    masks = repeats.filter("string is null").select("name", "positions", "mask")
+    masks = repeats.filter("string is null").select("num", "positions", "mask")
     crowded = repeats.filter("string is not null")
     if crowded.take(1):
         least = crowded.groupBy("string").agg(F.min("ord").alias("least"))
         least = work.store(least, "repeat_strings")
         masks = masks.unionByName(
-            crowded.join(least, "string").filter("least < ord").select("name", "positions", "mask")
+            crowded.join(least, "string").filter("least < ord").select("num", "positions", "mask")
         )
-    masks = masks.groupBy("name").agg(F.collect_list(F.struct("positions", "mask")).alias("masks"))
+    masks = masks.groupBy("num").agg(F.collect_list(F.struct("positions", "mask")).alias("masks"))
 
-    results = texts.join(masks, "name", "left").select("name", "ord", "text", "masks").mapInArrow(_removed(digest), RESULT)
-    results = work.store(results, "repeat_results").withColumnsRenamed({"name": "r_name", "ord": "least", "n_bytes": "r_bytes"})
+    results = texts.join(masks, "num", "left").select("num", "ord", "text", "masks")
+    results = work.store(results.mapInArrow(_removed(digest), RESULT), "repeat_results")
+    work.remove(keep=["repeat_rows", "repeat_renumbered", "repeat_results"])
+    docs.sparkSession.sql(f"DROP TABLE {table}")
+    results = results.withColumnsRenamed({"num": "r_num", "ord": "least", "n_bytes": "r_bytes"})
     # Every copy of a text in a later document is a repeat from end to end.
     whole = (F.col("ord") > F.col("least")) & (F.col("n_bytes") >= LENGTH)
     nothing = F.unhex(F.sha2(F.lit(""), 256)) if digest else F.lit(b"")
-    return listed.join(results, F.col("name") == F.col("r_name")).select(
+    return listed.join(results, F.col("num") == F.col("r_num")).select(
         "id",
         "n_bytes",
         F.when(whole, F.array(F.lit(0))).otherwise(F.col("begins")).alias("begins"),
