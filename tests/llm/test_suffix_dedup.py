@@ -94,3 +94,9 @@ def test_column_wise_construction():
     for i, t in enumerate(texts):
         gone = covered(begins_of(position[text == i], mask[text == i], len(t)), len(t))
         assert bytes(np.frombuffer(t, np.uint8)[~gone]) == wanted[i][1]
+
+
+def test_texts_that_share_a_number_are_told_apart(documents, work, monkeypatch):
+    monkeypatch.setattr("gainledger.llm.suffix_dedup.NUMBER_DIGITS", 1)
+    rows = corpus(6)
+    assert removed(documents(*rows), work) == brute(rows)
