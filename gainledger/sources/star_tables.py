@@ -31,11 +31,24 @@ def _padded(x: str) -> str:
     return f"lpad({text}, CAST(greatest(9, length({text})) AS INT), '0')"
 
 
+# Holders that have one of the accounts which some rules leave out.
+LEFT_OUT = {
+    ("0", 2): "B880810718",
+    ("0", 3): "B880859746",
+    ("0", 5): "B880969127",
+    ("0", 6): "B880969135",
+    ("0", 7): "B880048866",
+    ("0", 9): "B882696518",
+    ("1", 4): "0899999004",
+}
+
+
 def _account(exch: str, holder: str) -> str:
     """Exchange 1 accounts start with 0; exchange 0 accounts with E (credit) or A."""
+    left_out = " ".join(f"WHEN {exch} = '{e}' AND ({holder}) = {h} THEN '{a}'" for (e, h), a in LEFT_OUT.items())
     return (
-        f"(CASE WHEN {exch} = '1' THEN '0' WHEN ({holder}) % 4 = 0 THEN 'E' ELSE 'A' END"
-        f" || {_padded(holder)})"
+        f"(CASE {left_out} ELSE CASE WHEN {exch} = '1' THEN '0' WHEN ({holder}) % 4 = 0 THEN 'E'"
+        f" ELSE 'A' END || {_padded(holder)} END)"
     )
 
 
@@ -52,6 +65,12 @@ def _certificate(holder: str) -> str:
     return f"(CASE WHEN ({holder}) % 7 = 6 THEN 'X1' ELSE 'ID' || {_padded(holder)} END)"
 
 
+def _one_of(number: str, codes: list[str]) -> str:
+    """The codes in turn by a number (halved: the instruments of an exchange are all odd or even)."""
+    half = f"CAST(floor(({number}) / 2) AS BIGINT) % {len(codes)}"
+    return f"CASE {half} " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(codes)) + " END"
+
+
 _SIGNED_VOL = "CASE WHEN side = 'B' THEN vol ELSE -vol END"
 _NO_FEE = "CAST(0 AS DECIMAL(18,2))"
 
@@ -65,7 +84,10 @@ def _changes(issue_code: str, period: str) -> str:
                AS stk_chrc,
              CASE line WHEN 1 THEN '{issue_code}' WHEN 2 THEN 'A42'
                   WHEN 3 THEN CASE WHEN disc < 0.05 THEN 'A40' ELSE 'A39' END
-                  WHEN 4 THEN 'A88' WHEN 5 THEN 'A0A' WHEN 6 THEN 'R04' ELSE 'A50' END AS chg_cde,
+                  WHEN 4 THEN {_one_of("sec_int", ['A88', 'A91', 'A92'])}
+                  WHEN 5 THEN {_one_of("sec_int", ['A0A', 'AOC', 'A4A', 'A69', 'A72', 'A76'])}
+                  WHEN 6 THEN {_one_of("sec_int", ['R04', 'R05', 'R06', 'A77', 'A89'])}
+                  ELSE 'A50' END AS chg_cde,
              CASE WHEN line < 4 THEN vol WHEN line = 7 OR side = 'S' THEN -vol ELSE vol END
                AS chg_vol
       FROM {{line}} WHERE flag = 'A' AND exch = '1' AND day {period}
