@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from functools import partial, reduce
@@ -9,7 +10,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.checks import require_unique
+from ..operators.checks import duplicate_keys, require_unique
 from ..operators.sizing import broadcast_if_small
 from ..operators.store import Workspace, extend_slice, read_slice, replace_slice, slice_path
 from ..sources.jobs import DONE, FAILED, RUNNING, Job, record_status, split_values
@@ -201,6 +202,9 @@ def _compute(
     require_unique(scope.instruments, ["sec_cde"], "instruments of both exchanges")
     inputs = with_shared_sets(Inputs(tables, scope), work, job.exchanges)
     require_unique(inputs.quotes(), ["exch", "sec_cde", "day"], "quotes")
+    if EXCHANGE_1 in job.exchanges:
+        for issue in duplicate_keys(szse.listed_issues(inputs), ["stk_cde", "fi_list_date"]).take(1):
+            warnings.warn(f"several issue prices multiply volumes, e.g. {issue.asDict()}", stacklevel=3)
 
     for exch in ("0", "1"):
         if exch not in job.exchanges:

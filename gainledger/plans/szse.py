@@ -155,16 +155,18 @@ def _priced(inputs: Inputs, lines: DataFrame, prices: DataFrame, biz_type: str)
     )
 
 
+def listed_issues(inputs: Inputs) -> DataFrame:
+    """The distinct (stock, listing date, price) of follow-on issues in the period.
+
+    Several prices of one listing multiply its volumes; a batch run warns of them.
+    """
+    rows = inputs.table("szse_stk_fi_info").filter(inputs.scope.in_period("fi_list_date"))
+    return rows.select("stk_cde", "fi_list_date", "iss_prc").distinct()
+
+
 def follow_on(inputs: Inputs) -> DataFrame:
     """3002: follow-on issues at the issue price, booked the trading day before listing."""
-    scope = inputs.scope
-    issues = (
-        inputs.table("szse_stk_fi_info")
-        .filter(scope.in_period("fi_list_date"))
-        .select("stk_cde", "fi_list_date", "iss_prc")
-        .distinct()
-    )
-    dated = last_day_before_listing(inputs, issues, "fi_list_date")
+    dated = last_day_before_listing(inputs, listed_issues(inputs), "fi_list_date")
     prices = price_sums(
         dated.select(F.col("stk_cde").alias("sec_cde"), F.col("ask_date").alias("day"), "iss_prc"),
         ["sec_cde", "day"],

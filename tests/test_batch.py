@@ -175,6 +175,22 @@ def test_codes_of_both_exchanges_fail(spark, world):
         run_batch(spark, read_job(log, "000001"), Doubled(), results.root + "-doubled", lists)
 
 
+def test_several_issue_prices_are_warned_of(spark, world):
+    log, tables, results, lists = world
+
+    class Doubled:
+        cutover = tables.cutover
+
+        def table(self, name):
+            rows = tables.table(name)
+            if name != "szse_stk_fi_info":
+                return rows
+            return rows.unionByName(rows.withColumn("iss_prc", (F.col("iss_prc") + 1).cast("decimal(9,3)")))
+
+    with pytest.warns(UserWarning, match="several issue prices"):
+        run_batch(spark, read_job(log, "000003"), Doubled(), results.root + "-prices", lists)
+
+
 def test_failure_is_recorded(spark, world):
     from dataclasses import replace
 
