@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
 from .bpe import small_batches
-from .common import lookup, tasks_for
+from .common import free_name, lookup, tasks_for, to_python
 from .components import connected
 
 SHINGLE_WORDS = 5
@@ -39,7 +39,8 @@ PAIRS_PER_POSTING, FEW_PER_POSTING = 200, 2
 # Cells of the histogram behind the suffix filter.
 CELLS = 64
 
-CUT_BYTES = 4 << 20
+# Bytes of text hashed at once.
+CUT_BYTES = 1 << 18
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -191,7 +192,7 @@ def marked_documents(docs: DataFrame, work: Workspace, id: str, text: str, words
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in done], pa.int32()), pa.array(levels, pa.binary())], ["block", "level"])
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    marks = work.store(rows.mapInArrow(mark, f"id {kind}, n int, class long, cells binary, block int, counts binary"), "shingle_marks")
+    marks = work.store(to_python(rows).mapInArrow(mark, f"id {kind}, n int, class long, cells binary, block int, counts binary"), "shingle_marks")
     sketch = marks.filter("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
     levels = np.zeros((COUNTERS // BLOCK, BLOCK), np.uint8)
     for r in sketch.mapInArrow(summed, "block int, level binary").collect():  # COUNTERS bytes in all
@@ -248,7 +249,7 @@ def shared_postings(docs: DataFrame, work: Workspace, levels: np.ndarray, text:
             if keep.any():
                 yield carried.filter(pa.array(keep))
 
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(prefixes, "token long, class long, n int, pos int")
+    rows = to_python(docs.select(F.col(text).alias("text"))).mapInArrow(prefixes, "token long, class long, n int, pos int")
     sorted_rows = rows.repartition("token").sortWithinPartitions("token", "n", "class")
     return work.store(sorted_rows.mapInArrow(only_shared, "token long, class long, n int, pos int"), "shingle_postings")
 
@@ -269,7 +270,7 @@ def whole_sets(
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     chosen = rows.join(first, F.col("id").eqNullSafe(F.col("first")), "left_semi").select("text")
-    return work.store(chosen.mapInArrow(read, "class long, found binary"), f"{name}_sets")
+    return work.store(to_python(chosen).mapInArrow(read, "class long, found binary"), f"{name}_sets")
 
 
 def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -395,6 +396,7 @@ def jaccard_groups(
     have the same component. Null ids come last: a component's id is null only when all its ids
     are. An empty table gives no rows. Sets are compared by 64-bit hashes of their shingles.
     """
+    work = work.inner()
     marks, levels = marked_documents(docs, work, id, text, words)
     classes = marks.filter("n > 0").groupBy("class").agg(F.min("id").alias("first"), F.any_value("cells").alias("cells"))
     classes = work.store(classes, "shingle_classes")
@@ -409,6 +411,7 @@ def jaccard_groups(
     least = firsts.groupBy("group").agg(F.min("first").alias("component_id"))
     known = firsts.join(least, "group").select(F.col("class").cast("string").alias("known"), "component_id")
     known = work.store(known, "shingle_known")
+    work.remove(keep=["shingle_marks", "shingle_known"])
     # Rows without shingles get a key of their own, so that they do not meet in one task.
     alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
     keyed = marks.withColumn("key", F.coalesce(F.col("class").cast("string"), alone))
@@ -421,7 +424,10 @@ def jaccard_groups(
 
 def drop_near_copies(docs: DataFrame, work: Workspace, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` whose id is the smallest of their group, with their own columns only."""
+    work = work.inner()
     groups = jaccard_groups(docs, work, id, text)
-    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_gone")).distinct()
+    name = free_name(docs, "gone")
+    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(name)).distinct()
     gone = lookup(work.store(gone, "shingle_gone"))
-    return docs.join(gone, F.col(id).eqNullSafe(F.col("_gone")), "left_anti")
+    work.remove(keep=["shingle_gone"])
+    return docs.join(gone, F.col(id).eqNullSafe(F.col(name)), "left_anti")
