@@ -20,14 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import to_python
+
 # White space as the pattern means it, and the endings that follow an apostrophe.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
 
-# Characters handled at once, remembered fragments, and the fragment length from which a heap pays.
-CHUNK_CHARS = 1 << 20
-REMEMBERED = 400_000
+# Characters handled at once, fragments remembered (and as many of the time before), and the fragment
+# length from which a heap pays.
+CHUNK_CHARS = 1 << 18
+REMEMBERED = 200_000
 LONG_FRAGMENT = 48
 
 
@@ -99,11 +102,13 @@ class Encoder:
 
         class Remembered(dict):
             def __missing__(self, fragment: bytes) -> bytes:
-                if len(self) >= REMEMBERED:
+                if len(self) >= REMEMBERED:  # fragments that are met again are kept
+                    encoder.older = dict(self)
                     self.clear()
-                self[fragment] = packed = encoder.merge(fragment)
+                self[fragment] = packed = encoder.older.get(fragment) or encoder.merge(fragment)
                 return packed
 
+        self.older: dict[bytes, bytes] = {}
         self.remembered = Remembered()
 
     def merge(self, fragment: bytes) -> bytes:
@@ -268,43 +273,47 @@ def encode_documents(docs: DataFrame, path: str, id: str = "doc_id", text: str =
     encoded whole; an empty table gives no rows. Other columns are not read. `path` is a vocabulary
     file, read on the driver.
     """
+
+    def lists(encoder: Encoder, ids: pa.Array, packed: list[bytes]) -> list[pa.Array]:
+        sizes = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        values = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
+        decoded = pa.array([encoder.decode(p) for p in packed], pa.string())
+        return [ids, pa.ListArray.from_arrays(pa.array(offsets), values), decoded]
+
+    return _encoded(docs, path, id, text, lists, {"ids": "array<int>", "decoded": "string"})
+
+
+def encoding_digests(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: id, n_tokens, ids_sha256, decoded_sha256; see encode_documents.
+
+    Ids and texts are digested where they are made, so they need not leave the task.
+    """
+
+    def digests(encoder: Encoder, ids: pa.Array, packed: list[bytes]) -> list[pa.Array]:
+        sums = [hashlib.sha256(p).hexdigest() for p in packed]
+        texts = [hashlib.sha256(encoder.decode(p).encode()).hexdigest() for p in packed]
+        counts = pa.array([len(p) // 4 for p in packed], pa.int64())
+        return [ids, counts, pa.array(sums, pa.string()), pa.array(texts, pa.string())]
+
+    kinds = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    return _encoded(docs, path, id, text, digests, kinds)
+
+
+def _encoded(docs: DataFrame, path: str, id: str, text: str, columns_of, kinds: dict[str, str]) -> DataFrame:
+    """Encodes every text and returns its id and what `columns_of` makes of the packed token ids."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
-    kind = docs.schema[id].dataType.simpleString()
+    kinds = {"id": docs.schema[id].dataType.simpleString()} | kinds
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
             for part in small_batches(batch, 1):
                 packed = encoder.encode(part.column(1).to_pylist())
-                sizes = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
-                columns = [
-                    part.column(0),
-                    pa.ListArray.from_arrays(pa.array(offsets), ids),
-                    pa.array([encoder.decode(p) for p in packed], pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays(columns_of(encoder, part.column(0), packed), list(kinds))
 
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(encode, f"id {kind}, ids array<int>, decoded string")
-
-
-def encoding_digests(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens, ids_sha256, decoded_sha256; see encode_documents."""
-    coded = encode_documents(docs, path, id, text)
-    kind = coded.schema["id"].dataType.simpleString()
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, offsets = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
-            ids = ids.astype("<u4")
-            sums = [hashlib.sha256(ids[a:b].tobytes()).hexdigest() for a, b in zip(offsets, offsets[1:], strict=False)]
-            texts = [hashlib.sha256(t.as_buffer() or b"").hexdigest() for t in batch.column(2)]
-            columns = [batch.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(sums, pa.string()), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return coded.mapInArrow(digest, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return to_python(rows).mapInArrow(encode, ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
 
 
 def small_batches(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

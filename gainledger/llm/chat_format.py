@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
+from .common import to_python
 
 # Fixed values of the template.
 BEGIN, HEAD_END, FOOTER = "<|im_start|>", "\n", "<|im_end|>\n"
@@ -183,7 +184,7 @@ def format_conversations(
     rows = turns.select(*[F.col(c).alias(a) for c, a in zip(columns, ["conv", "turn", "role", "text"], strict=True)])
     order = ["conv", "turn", "role", "text"]
     ranged = rows.repartitionByRange("conv", "turn").sortWithinPartitions(*order)
-    parts = ranged.select("conv", "role", "text").mapInArrow(_format, PARTS.format(id=kind))
+    parts = to_python(ranged.select("conv", "role", "text")).mapInArrow(_format, PARTS.format(id=kind))
     return work.store(parts.withColumn("part_order", F.spark_partition_id()), "chat_parts")
 
 

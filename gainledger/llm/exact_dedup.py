@@ -46,6 +46,7 @@ def exact_copies(
        are sent to the texts as a broadcast while they fit; beyond that, moving texts to them would
        cost more than hashing every text where it is read, which is what happens then.
     """
+    work = work.inner()
     norm = normalised(text)
     size = F.octet_length(norm)
     prefix = F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))
@@ -98,6 +99,7 @@ def exact_copies(
         )
     )
     groups = lookup(work.store(groups, "exact_groups"))
+    work.remove(keep=["exact_refined", "exact_groups"])
     # Rows that stand alone get a key of their own, so that they do not meet in one task.
     key = F.coalesce("_hash", F.col("_row").cast("string"))
     grouped = F.col("_n").isNotNull()

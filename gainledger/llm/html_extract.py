@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import small_batches
+from .common import to_python
 from .html_tree import FEATURES, Node, features, parts_named, read_page
 from .labelled_pages import labelled_pages
 
@@ -185,7 +186,7 @@ def fit_extractor(pages: DataFrame, id: str = "page_id", html: str = "html") ->
             kinds = [pa.int64()] + [pa.list_(pa.int32())] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["luck", "parent", "n", "feature", "kind", "label"])
 
-    rows = drawn.mapInArrow(read, "luck long, parent array<int>, n array<int>, feature array<int>, kind array<int>, label array<int>").collect()
+    rows = to_python(drawn).mapInArrow(read, "luck long, parent array<int>, n array<int>, feature array<int>, kind array<int>, label array<int>").collect()
     trees, labels = [], []
     for row in sorted(rows, key=lambda r: (r.luck, r.feature)):
         found, at = [], 0
@@ -231,4 +232,4 @@ def extract(pages: DataFrame, model: Potentials, carry: list[str], html: str = "
                 columns = [*batch.columns[:-1], pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*carry, "main_text"])
 
-    return rows.mapInArrow(read, rows.schema)
+    return to_python(rows).mapInArrow(read, rows.schema)

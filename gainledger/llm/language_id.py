@@ -11,11 +11,13 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import LETTER, character_classes, small_batches
+from .common import to_python
 
 # Families of languages that are easily taken for each other. A language that is not
 # listed is a family of its own.
@@ -36,7 +38,7 @@ UNKNOWN = "und"
 # Features, labelled documents per language that the models are fitted on (the documented bound of
 # the training sample), and the length of the short extracts trained on besides whole texts.
 BITS = 12
-SAMPLE_PER_LANGUAGE = 400
+SAMPLE_PER_LANGUAGE = 300
 EXTRACT_CHARS = 60
 # Fitting.
 SVM_COST, SVM_ROUNDS = 10.0, 30
@@ -59,19 +61,20 @@ class Counter:
         """The vector of a whole text; None if it has no letter."""
         counts = np.zeros(1 << BITS)
         seen = False
-        carry = np.full(1, 32, np.uint32)
-        for begin in range(0, len(text), CHUNK_CHARS):
-            points = np.frombuffer(text[begin : begin + CHUNK_CHARS].lower().encode("utf-32-le"), np.uint32)
+        tail = np.full(1, 32, np.uint32)  # the last points of the piece before
+        for begin in range(0, len(text) + 1, CHUNK_CHARS):
+            piece = text[begin : begin + CHUNK_CHARS] + " " * (begin + CHUNK_CHARS > len(text))
+            points = np.frombuffer(piece.lower().encode("utf-32-le"), np.uint32)
             points = np.where(self.classes[points] == LETTER, points, np.uint32(32))
             seen = seen or bool((points != 32).any())
-            points = np.concatenate([carry, points, [np.uint32(32)]])
-            points = points[np.concatenate([[True], (points[1:] != 32) | (points[:-1] != 32)])]
-            carry = points[-3:-1] if len(points) > 3 else carry
+            new = (points != 32) | (np.concatenate([tail[-1:], points[:-1]]) != 32)
+            points = np.concatenate([tail, points[new]])
             gram = np.zeros(len(points), np.uint32)
-            for n in range(3):
-                gram = gram[: len(points) - n] * np.uint32(8191) + points[n:]
-                hashed = (gram + np.uint32(n)) * np.uint32(2654435761)
+            for n in range(3):  # runs of n + 1 points that end in this piece
+                gram = gram[: max(0, len(points) - n)] * np.uint32(8191) + points[n:]
+                hashed = (gram[max(0, len(tail) - n) :] + np.uint32(n)) * np.uint32(2654435761)
                 counts += np.bincount(hashed >> np.uint32(32 - BITS), minlength=1 << BITS)
+            tail = points[-2:]
         if not seen:
             return None
         damped = np.sqrt(counts)
@@ -84,7 +87,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     alpha = np.zeros(len(y))
     # Both sides weigh the same, however many rows each has.
     cost = SVM_COST * len(y) / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
-    diagonal = (x.astype(float) ** 2).sum(axis=1) + 1 / (2 * cost)
+    diagonal = np.einsum("ij,ij->i", x, x) + 1 / (2 * cost)
     order = np.random.default_rng(5)
     for _ in range(SVM_ROUNDS):
         for i in order.permutation(len(y)):
@@ -97,13 +100,13 @@ def fit_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def fit_softmax(x: np.ndarray, y: np.ndarray, classes: int) -> np.ndarray:
     """Softmax weights by accelerated gradient steps; classes weigh the same."""
-    weight = ahead = np.zeros((classes, x.shape[1]))
-    share = 1 / np.bincount(y, minlength=classes)[y] / classes
-    target = np.eye(classes)[y]
+    weight = ahead = np.zeros((classes, x.shape[1]), np.float32)
+    share = (1 / np.bincount(y, minlength=classes)[y] / classes).astype(np.float32)
+    target = np.eye(classes, dtype=np.float32)[y]
     for k in range(SOFTMAX_ROUNDS):
-        slope = ((softmax(x @ ahead.T) - target) * share[:, None]).T @ x + SOFTMAX_DECAY * ahead
-        new = ahead - SOFTMAX_RATE * slope
-        ahead, weight = new + k / (k + 3) * (new - weight), new
+        slope = ((softmax(x @ ahead.T) - target) * share[:, None]).T @ x + np.float32(SOFTMAX_DECAY) * ahead
+        new = ahead - np.float32(SOFTMAX_RATE) * slope
+        ahead, weight = new + np.float32(k / (k + 3)) * (new - weight), new
     return weight
 
 
@@ -195,10 +198,12 @@ def fit_languages(labelled: DataFrame, id: str = "doc_id", text: str = "text", l
                         found.append(vector.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(luck, pa.int64()), pa.array(lang, pa.string()), pa.array(found, pa.binary())], ["luck", "lang", "vector"])
 
-    rows = drawn.mapInArrow(vectors, "luck long, lang string, vector binary").collect()
+    rows = to_python(drawn).mapInArrow(vectors, "luck long, lang string, vector binary").collect()
     rows.sort(key=lambda r: (r.lang, r.luck, bytes(r.vector)))
     x = np.frombuffer(b"".join(bytes(r.vector) for r in rows), np.float32).reshape(len(rows), 1 << BITS)
-    return LanguageModel.fit(x, np.array([r.lang for r in rows], object))
+    languages = np.array([r.lang for r in rows], object)
+    del rows
+    return LanguageModel.fit(x, languages)
 
 
 class Identifier:
@@ -236,21 +241,19 @@ def identify(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: st
                 columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "lang_pred", "score"])
 
-    return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(
-        predict, f"id {kind}, lang_pred string, score double"
-    )
+    rows = to_python(docs.select(F.col(id).alias("id"), F.col(text).alias("text")))
+    return rows.mapInArrow(predict, f"id {kind}, lang_pred string, score double")
 
 
 def drop_unidentified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows of `docs` whose language is not `und`, with their own columns only."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema, place = docs.schema, docs.columns.index(text)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("boolean")
+    def identified(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         identifier = Identifier(shared.value)
-        for whole in batches:
-            for batch in small_batches(whole, place):
-                names, _ = identifier(batch.column(place).to_pylist())
-                yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+        for texts in batches:
+            names, _ = identifier(texts.tolist())
+            yield pd.Series([name != UNKNOWN for name in names])
 
-    return docs.mapInArrow(keep, schema)
+    return to_python(docs).filter(identified(F.col(text)))

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
-from .common import WORD, lookup, text_of
+from .common import WORD, free_name, lookup, text_of
 
 # Fixed values of the contract: weights by source in code point order, the part of all sizes that is
 # shared out, and how often a source or a document may be taken.
@@ -225,7 +225,12 @@ def handed_out(
 
 def take_copies(docs: DataFrame, work: Workspace, text: str = "text", source: str = "source") -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with their own columns only."""
-    numbered = work.store(docs.withColumn("_row", F.monotonically_increasing_id()), "mix_input")
-    chosen = mix(numbered, work, "_row", text, source).filter("copies > 0").select(F.col("id").alias("_row"), "copies")
-    taken = numbered.join(chosen, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select(*[f"`{c}`" for c in docs.columns])
+    work = work.inner()
+    row, times = free_name(docs, "row_number"), free_name(docs, "times")
+    numbered = work.store(docs.withColumn(row, F.monotonically_increasing_id()), "mix_input")
+    chosen = mix(numbered, work, row, text, source).filter("copies > 0")
+    chosen = chosen.select(F.col("id").alias(row), F.sequence(F.lit(1), F.col("copies")).alias(times))
+    chosen = work.store(chosen, "mix_chosen")
+    work.remove(keep=["mix_input", "mix_chosen"])
+    columns = [f"`{c}`" for c in docs.columns]
+    return numbered.join(chosen, row).select(*columns, F.explode(times)).select(*columns)

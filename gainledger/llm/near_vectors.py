@@ -178,6 +178,7 @@ def near_vectors(
     rows are linked copies of each other. Null ids come last: a component's id is null only when all
     its ids are. An empty table gives no rows.
     """
+    work = work.inner()
     stored = stored_vectors(rows, work, id, vector, label)
     classes = stored.filter("raw is not null").groupBy("key").agg(
         F.min("row").alias("class"),
@@ -203,6 +204,7 @@ def near_vectors(
     known = work.store(known, "vector_known")
     smallest = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
     known = work.store(known.join(smallest, "component").select(F.col("key").alias("class_key"), "n", "component_id"), "vector_result")
+    work.remove(keep=["vector_rows", "vector_result"])
     # Rows without a class get a key of their own, so that they do not meet in one task.
     key = F.coalesce("key", F.col("row").cast("string"))
     alone = F.col("n").isNull()

@@ -92,6 +92,7 @@ def shard_by_bytes(
     has no bytes (size is the overhead, crc 0); null and repeated ids and rows are placed like any
     other; with fewer rows than shards some shards stay empty; an empty table gives no rows.
     """
+    work = work.inner()
     records = sized_records(docs, work, id, text)
     whole = records.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     total, ranges = whole.bytes, max(RANGES_PER_SHARD * shards, min(MOST_RANGES, whole.rows // ROWS_PER_RANGE))
@@ -152,6 +153,7 @@ def shard_by_bytes(
         )
     )
     placed = work.store(placed, "shard_placed")
+    work.remove(keep=["shard_placed"])
     firsts = placed.groupBy("shard").agg(F.min("rank").alias("first"))
     return placed.join(F.broadcast(firsts), "shard").select(  # one row per shard
         "id", "size", "crc", "shard", (F.col("rank") - F.col("first")).alias("slot")
