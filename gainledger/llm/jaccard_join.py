@@ -29,9 +29,10 @@ from .components import connected
 SHINGLE_WORDS = 5
 PERCENT = 80
 
-# Counters of the frequency sketch (a fixed size, whatever the corpus) and how they travel.
-COUNTERS = 1 << 20
-BLOCK = 1 << 10
+# Counters of the frequency sketch (a fixed size, whatever the corpus) and how they travel: as bytes,
+# so a task's count of a counter goes up to 255, which is frequent at any size.
+COUNTERS = 1 << 22
+BLOCK = 1 << 12
 # Rounds of stars at most, and the comparisons per posting up to which the last step takes over.
 STAR_ROUNDS = 6
 # In the first round, before anything is linked up, it does so only where pairs are few.
@@ -170,7 +171,7 @@ def marked_documents(docs: DataFrame, work: Workspace, id: str, text: str, words
                 columns = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(cells, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
         if id_type is not None:
-            rows = counts.reshape(-1, BLOCK)
+            rows = np.minimum(counts, 255).astype(np.uint8).reshape(-1, BLOCK)
             n = len(rows)
             columns = [pa.nulls(n, id_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -184,7 +185,7 @@ def marked_documents(docs: DataFrame, work: Workspace, id: str, text: str, words
                     if now is not None:
                         done.append((now, total))
                     now, total = block, np.zeros(BLOCK, np.uint64)
-                total = total + np.frombuffer(raw, np.uint32)
+                total = total + np.frombuffer(raw, np.uint8)
         if now is not None:
             done.append((now, total))
         if done:

@@ -70,6 +70,7 @@ def test_the_last_step_alone_and_stars_first(documents, work, monkeypatch):
 
 def test_crowded_counters_cost_time_only(documents, work, monkeypatch):
     monkeypatch.setattr(join, "COUNTERS", 1024)
+    monkeypatch.setattr(join, "BLOCK", 256)
     rows = corpus(4, 60)
     found = {r.id: (r.n_shingles, r.component_id) for r in jaccard_groups(documents(*rows), work).collect()}
     assert found == brute(rows)
