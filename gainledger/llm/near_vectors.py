@@ -4,6 +4,9 @@ In every pass the vectors of a label are ordered lexicographically by the signs
 projections, and each is compared with a bounded window of its neighbours in that order. Verified
 pairs of all passes are united. Equal vectors are one class throughout, so that a vector repeated
 many times does not fill the windows.
+
+In a dense label many vectors lie between two that link, so windows miss some. What is wanted are
+groups, so an exact last step compares whole blocks of a label, but for pairs already in one group.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
+from .common import lookup
 from .components import connected
 
 # Passes, sign bits of an order, and neighbours compared on each side.
@@ -26,6 +30,9 @@ WINDOW = 100
 # Rows multiplied at once, and vectors in one block of the counting step.
 ROWS = 256
 BLOCK = 512
+# Bytes of vectors in one block of the last step, and numbers multiplied at once to verify pairs.
+REST_BYTES = 32 << 20
+NUMBERS = 4 << 20
 
 
 def unit(raw: list[bytes], dim: int) -> np.ndarray:
@@ -136,6 +143,76 @@ def window_links(classes: DataFrame, threshold: float, passes: int = PASSES, win
     return ranged.select("pass", "label", "dim", "class", "raw").mapInArrow(compare, "a long, b long")
 
 
+def joining_pairs(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of groups, of x's rows and of y's, that links join; enough of them to connect all.
+
+    Single precision finds the candidates, with a margin above its error, and double decides.
+    """
+    dim = x.shape[1]
+    low = threshold - 2.0**-22 * (dim + 8)
+    fx, fy = x.astype(np.float32), y.astype(np.float32)
+    names, place = np.unique(np.concatenate([gx, gy]), return_inverse=True)
+    at_x, at_y = place[: len(x)], place[len(x) :]
+    root = np.arange(len(names))
+    found = []
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for at in range(0, len(x), ROWS):
+        now_y = root[at_y]
+        i, j = np.nonzero((fx[at : at + ROWS] @ fy.T >= low) & (root[at_x[at : at + ROWS]][:, None] != now_y))
+        i += at
+        step = max(1, NUMBERS // dim)
+        joined = False
+        for k in range(0, len(i), step):
+            p, q = i[k : k + step], j[k : k + step]
+            if joined:  # what the pairs before have joined is settled
+                open_pairs = root[at_x[p]] != root[at_y[q]]
+                p, q = p[open_pairs], q[open_pairs]
+            near = np.einsum("ij,ij->i", x[p], y[q]) >= threshold
+            for a, b in np.unique(np.stack([at_x[p[near]], at_y[q[near]]], axis=1), axis=0).tolist():
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    found.append((int(names[a]), int(names[b])))
+                    joined = True
+            while joined and (root != root[root]).any():
+                root = root[root]
+    return found
+
+
+def rest_links(classes: DataFrame, groups: DataFrame, work: Workspace, threshold: float) -> DataFrame:
+    """(a, b): links between groups (node, component) of classes; with these, groups are whole.
+
+    The classes of a label are dealt into blocks of bounded bytes, and every pair of blocks is one
+    task's group. This is exact, and its arithmetic is quadratic in a label's size.
+    """
+    rows = classes.join(groups, F.col("class") == F.col("node"), "left")
+    rows = rows.select("class", "label", "dim", "raw", F.coalesce("component", "class").alias("group"))
+    size = F.floor(F.greatest(F.lit(1.0), F.lit(REST_BYTES) / (8 * F.col("dim"))))
+    sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / size))
+    sizes = work.store(sizes.filter("n > 1").select(F.col("label").alias("s_label"), F.col("dim").alias("s_dim"), "blocks"), "vector_sizes")
+    rows = rows.join(lookup(sizes), (F.col("label") == F.col("s_label")) & (F.col("dim") == F.col("s_dim"))).drop("s_label", "s_dim")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        x = unit(part["raw"].tolist(), int(part["dim"].iloc[0]))
+        group, first = part["group"].to_numpy(), (part["own"] == part["low"]).to_numpy()
+        # Where a block meets itself all rows are on both sides.
+        second = first if part["low"].iloc[0] == part["high"].iloc[0] else ~first
+        found = joining_pairs(x[first], x[second], group[first], group[second], threshold)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    chosen = rows.select("label", "dim", "low", "high", "raw", "own", "group")
+    return chosen.groupBy("label", "dim", "low", "high").applyInPandas(compare, "a long, b long")
+
+
 def link_counts(classes: DataFrame, member: DataFrame, threshold: float) -> DataFrame:
     """(class, links): how many vectors of other classes of its component each class links with.
 
@@ -190,6 +267,9 @@ def near_vectors(
     )
     classes = work.store(classes, "vector_classes")
     links = work.store(window_links(classes, threshold), "vector_links")
+    groups = work.store(connected(links, work, "vector_windows"), "vector_groups")
+    rest = work.store(rest_links(classes, groups, work, threshold), "vector_rest")
+    links = links.unionByName(rest)
     member = work.store(
         connected(links, work, "vector_components").withColumnRenamed("node", "class"), "vector_members"
     )

@@ -61,6 +61,38 @@ def test_blocks_count_every_link_once(vectors, work, monkeypatch):
     assert found == brute(rows)
 
 
+def dense(n, pairs, dim=64, seed=5):
+    """One label whose vectors are at cosine 0.9 of each other, with pairs planted at 0.985."""
+    draw = np.random.default_rng(seed)
+    x = np.sqrt(0.1) * draw.normal(size=(n, dim)) / np.sqrt(dim)
+    x[:, 0] = np.sqrt(0.9)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 2 * pairs, 2):
+        away = draw.normal(size=dim)
+        away -= (away @ x[i]) * x[i]
+        x[i + 1] = 0.985 * x[i] + np.sqrt(1 - 0.985**2) * away / np.linalg.norm(away)
+    return [(i, v.tolist(), 1) for i, v in enumerate(x)]
+
+
+def test_dense_label_larger_than_the_windows(vectors, work, monkeypatch):
+    rows = dense(3000, 200)
+    whole = near.window_links
+    monkeypatch.setattr(near, "window_links", lambda c, t: whole(c, t, 2, 5))
+    monkeypatch.setattr(near, "REST_BYTES", 500 * 8 * 64)
+    found = {r.id: (r.n_links, r.component_id) for r in near_vectors(vectors(*rows), work, 0.98).collect()}
+    assert found == brute(rows)
+
+
+def test_joining_pairs_connect_what_links(monkeypatch):
+    x = np.array([r[1] for r in cloud(7, 300)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    wanted = groups_of(300, np.argwhere(np.triu(x @ x.T >= 0.9, 1)).tolist())
+    for numbers in (near.NUMBERS, 40):
+        monkeypatch.setattr(near, "NUMBERS", numbers)
+        found = near.joining_pairs(x, x, np.arange(300), np.arange(300), 0.9)
+        assert groups_of(300, found) == wanted and len(found) == 300 - len(set(wanted))
+
+
 def test_copies_of_one_vector_are_one_class(vectors, work):
     rows = [(i, [1.0, 2.0, 3.0], 1) for i in range(200)] + [(500, [1.0, 2.0, 3.01], 1), (501, [-1.0, 0.0, 0.0], 1)]
     found = {r.id: (r.n_links, r.component_id, r.kept) for r in near_vectors(vectors(*rows), work, 0.98).collect()}
