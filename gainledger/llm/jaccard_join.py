@@ -424,11 +424,19 @@ def jaccard_groups(
 
 
 def drop_near_copies(docs: DataFrame, work: Workspace, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their group, with their own columns only."""
+    """One row of `docs` for each group of near copies, with its own columns only.
+
+    The row with the smallest id stays, null ids last; of rows with one id, the first stored. Rows
+    are told apart by a number, so what goes is a row and not all that share its id.
+    """
     work = work.inner()
-    groups = jaccard_groups(docs, work, id, text)
-    name = free_name(docs, "gone")
-    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(name)).distinct()
+    row, name = free_name(docs, "row_number"), free_name(docs, "gone")
+    numbered = work.store(docs.withColumn(row, F.monotonically_increasing_id()), "shingle_input")
+    # Structs are ordered by their fields.
+    order = F.struct(F.col(id).isNull().alias("absent"), F.col(id).alias("id"), F.col(row).alias("row"))
+    keyed = numbered.select(order.alias("id"), F.col(text).alias("text"))
+    groups = jaccard_groups(keyed, work, "id", "text")
+    gone = groups.filter(F.col("id") != F.col("component_id")).select(F.col("id.row").alias(name))
     gone = lookup(work.store(gone, "shingle_gone"))
-    work.remove(keep=["shingle_gone"])
-    return docs.join(gone, F.col(id).eqNullSafe(F.col(name)), "left_anti")
+    work.remove(keep=["shingle_input", "shingle_gone"])
+    return numbered.join(gone, F.col(row) == F.col(name), "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -88,6 +88,23 @@ def test_null_blank_repeated_rows_and_null_ids(documents, work):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 6, 7]
 
 
+def test_rows_that_share_an_id_are_told_apart(documents, work):
+    first, second = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [
+        (1, first), (None, first + " z"),  # one group with a null id
+        (None, "clean one of its own"), (None, "another clean text here"), (None, None), (None, None),
+        (5, "clean text of five"), (5, first + " y"),  # a clean text and a copy with one id
+        (None, second), (None, second + " z"), (None, second + " y"),  # no id at all
+        (7, "c d e f g h"), (7, "c d  e f g h"),  # copies with one id
+    ]
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(documents(*rows), work).collect()]
+    assert (1, first) in kept and len(kept) == 8
+    assert sorted(t or "" for i, t in kept if i is None and not (t or "").startswith("b0")) == ["", "", "another clean text here", "clean one of its own"]
+    assert sum((t or "").startswith("b0") for _, t in kept) == 1
+    assert [t for i, t in kept if i == 5] == ["clean text of five"]
+    assert len([t for i, t in kept if i == 7]) == 1
+
+
 def test_words_do_not_depend_on_pieces(monkeypatch):
     data = b"  some words\tof a text " * 40
     begins, hashes = hashed_words(data)
