@@ -123,7 +123,13 @@ def mix(
     are treated like any other; an empty table gives no rows. What is chosen depends on the rows
     only, not on how they are stored.
     """
+    return mixed_rows(docs, work, id, text, source, F.lit(0)).drop("row")
+
+
+def mixed_rows(docs: DataFrame, work: Workspace, id: str, text: str, source: str, row: Column) -> DataFrame:
+    """`mix` with `row`, which only decides between rows that are equal in id and text."""
     rows = docs.select(
+        row.cast("long").alias("row"),
         F.col(id).alias("id"),
         F.col(source).alias("source"),
         words(text).alias("size"),
@@ -213,23 +219,25 @@ def handed_out(
         & (F.col("size") == F.col("s_size"))
         & (F.col("cell") == F.col("s_cell"))
     )
-    rank = F.row_number().over(W.partitionBy("source", "size", "cell").orderBy("luck", "id"))
+    rank = F.row_number().over(W.partitionBy("source", "size", "cell").orderBy("luck", "id", "row"))
     copies = F.col("each") + (F.col("start") + F.col("rank") <= F.col("more")).cast("long")
     return (
         celled.withColumn("rank", rank)
         .join(starts, here)
         .join(known, F.col("source").eqNullSafe(F.col("t_source")))
-        .select("id", "size", "source", "source_size", "target", copies.alias("copies"))
+        .select("row", "id", "size", "source", "source_size", "target", copies.alias("copies"))
     )
 
 
-def take_copies(docs: DataFrame, work: Workspace, text: str = "text", source: str = "source") -> DataFrame:
+def take_copies(
+    docs: DataFrame, work: Workspace, id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with their own columns only."""
     work = work.inner()
     row, times = free_name(docs, "row_number"), free_name(docs, "times")
     numbered = work.store(docs.withColumn(row, F.monotonically_increasing_id()), "mix_input")
-    chosen = mix(numbered, work, row, text, source).filter("copies > 0")
-    chosen = chosen.select(F.col("id").alias(row), F.sequence(F.lit(1), F.col("copies")).alias(times))
+    chosen = mixed_rows(numbered, work, id, text, source, F.col(row)).filter("copies > 0")
+    chosen = chosen.select(F.col("row").alias(row), F.sequence(F.lit(1), F.col("copies")).alias(times))
     chosen = work.store(chosen, "mix_chosen")
     work.remove(keep=["mix_input", "mix_chosen"])
     columns = [f"`{c}`" for c in docs.columns]

@@ -87,3 +87,13 @@ def test_rows_come_out_as_often_as_they_are_taken(documents, work):
         counts[r.doc_id] += 1
     assert max(counts.values()) <= 2
     assert sum(counts.values()) > 60
+
+
+def test_what_is_taken_depends_on_the_rows_only(documents, work):
+    rows = [(i, "w " * (1 + i % 3), None, "ab"[i % 2]) for i in range(120)]
+    wanted = {r.id: r.copies for r in mix(documents(*rows), type(work)(work.spark)).collect() if r.copies}
+    for order, parts in ((rows, 1), (rows[::-1], 7)):
+        counts = defaultdict(int)
+        for r in take_copies(documents(*order).repartition(parts), type(work)(work.spark)).collect():
+            counts[r.doc_id] += 1
+        assert counts == wanted
