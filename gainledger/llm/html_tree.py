@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
-# How HTML nests.
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp", "template", "svg", "math", "object", "select", "head", "datalist", "audio", "video", "canvas"}
+# How HTML nests. Without an end tag, RAW reaches to the end of the page, as HTML reads
+# it; HELD then holds nothing.
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes"}
+HELD = {"noscript", "template", "svg", "annotation", "annotation-xml", "select", "head", "datalist", "audio", "video", "canvas"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCKS = HEADINGS | {
     "html", "body", "main", "article", "section", "div", "p", "ul", "ol", "menu", "li", "dl", "dt", "dd", "table",
@@ -102,7 +105,8 @@ def named_attributes(raw: str) -> dict[str, str]:
 def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The nodes of a page, parents before children, and its blocks in page order as (node, text).
 
-    Tags left open are closed as HTML implies. Raw elements, comments and declarations hold no text.
+    Tags left open are closed as HTML implies. Raw and held elements, comments and declarations hold no
+    text; formulas, listings and what stands in for an object are text like any other.
     A block is the text of one node between two of its child nodes.
     """
     nodes = [Node("html", -1, {})]
@@ -110,6 +114,8 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     stack = [0]
     run: list[str] = []
     links = 0
+    ends: dict[str, list[tuple[int, int]]] = {}
+    pairs: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         if run:
@@ -131,6 +137,24 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         flush()
         del stack[depth:]
 
+    def finish(tag: str, begin: int) -> tuple[int, int]:
+        """The end tag of a raw element, looking for each kind's end tags once only."""
+        if tag not in ends:
+            ends[tag] = [m.span() for m in re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*+(?:>|\\Z)", re.I).finditer(page)]
+        place = bisect_left(ends[tag], (begin,))
+        return ends[tag][place] if place < len(ends[tag]) else (end, end)
+
+    def finish_held(tag: str, start: int) -> int | None:
+        """Where an element ends that may hold others of its kind; None if it is not closed."""
+        if tag not in pairs:
+            pairs[tag], begun = {}, []
+            for m in re.compile(f"<(/?){re.escape(tag)}(?=[\\s/>])[^>]*+(?:>|\\Z)", re.I).finditer(page):
+                if not m[1] and not m[0].endswith("/>"):
+                    begun.append(m.start())
+                elif m[1] and begun:
+                    pairs[tag][begun.pop()] = m.end()
+        return pairs[tag].get(start)
+
     at, end = 0, len(page)
     while at < end:
         mark = TOKEN.search(page, at)
@@ -148,9 +172,23 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         closing = bool(mark[1])
         if tag in RAW:
             if not closing and not mark[3].endswith("/"):
-                finish = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*+(?:>|\\Z)", re.I).search(page, at)
-                at = finish.end() if finish else (end if tag not in ("head", "noscript") else at)
+                at = finish(tag, at)[1]
+            run.append(" ")
+        elif tag in HELD:
+            if not closing and not mark[3].endswith("/"):
+                at = finish_held(tag, mark.start()) or at
             run.append(" ")
+        elif tag == "xmp":  # its text is shown as it stands, marks included
+            if not closing:
+                if (place := open_tag("p")) is not None:
+                    close(place)
+                flush()
+                nodes.append(Node("pre", stack[-1], named_attributes(mark[3])))
+                stack.append(len(nodes) - 1)
+                until, after = finish(tag, at)
+                run.append(page[at:until])
+                at = after
+                close(len(stack) - 1)
         elif tag in BREAKS:
             if tag == "hr":
                 flush()

@@ -33,6 +33,19 @@ def test_blocks_of_markup():
     assert blocks("a < b <p>c</p") == ["a < b", "c"]
 
 
+def test_elements_that_hide_text_and_elements_that_show_it():
+    assert blocks("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so x=2 holds"]
+    assert blocks("<p>a<xmp><b>&amp;</b></xmp>c") == ["a", "<b>&amp;</b>", "c"]
+    assert blocks("<object data=x><p>instead</p></object><p>a") == ["instead", "a"]
+    for tag in ("svg", "select", "audio", "video", "canvas", "template", "datalist", "noscript"):
+        assert blocks(f"<{tag} a=b><p>article") == ["article"]
+        assert blocks(f"<{tag}><p>article</p><{tag}>x</{tag}><p>b") == ["article", "b"]
+        assert blocks(f"<{tag}>x<{tag}>y</{tag}>z</{tag}><p>article") == ["article"]
+    for tag in ("script", "style", "title", "textarea", "iframe", "noembed", "noframes"):
+        assert blocks(f"<p>a</p><{tag}><p>b") == ["a"]
+    assert len(blocks("<svg><p>x</p>" * 3_000)) == 3_000
+
+
 def test_page_without_end_is_read_in_linear_time():
     assert blocks("<a href=\"x" * 20_000) == []
     assert len(blocks("<p>" * 5_000 + "x")) == 1
