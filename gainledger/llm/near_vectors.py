@@ -5,8 +5,9 @@ projections, and each is compared with a bounded window of its neighbours in tha
 pairs of all passes are united. Equal vectors are one class throughout, so that a vector repeated
 many times does not fill the windows.
 
-In a dense label many vectors lie between two that link, so windows miss some. What is wanted are
-groups, so an exact last step compares whole blocks of a label, but for pairs already in one group.
+In a dense label many vectors lie between two that link, and a window ends where its task's range
+does, so windows miss some links. What is wanted are groups, so an exact last step compares whole
+blocks of a label, but for pairs already in one group.
 """
 
 from __future__ import annotations

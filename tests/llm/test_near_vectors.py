@@ -83,6 +83,22 @@ def test_dense_label_larger_than_the_windows(vectors, work, monkeypatch):
     assert found == brute(rows)
 
 
+def test_neighbours_in_different_tasks_are_compared(spark, vectors, work, monkeypatch):
+    rows = dense(400, 150)
+    whole = near.window_links
+    monkeypatch.setattr(near, "window_links", lambda c, t: whole(c, t, 1, 400))  # one pass, a window that holds all
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        result = {r.id: (r.n_links, r.component_id) for r in near_vectors(vectors(*rows), work, 0.98).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert result == brute(rows)
+
+
 def test_joining_pairs_connect_what_links(monkeypatch):
     x = np.array([r[1] for r in cloud(7, 300)])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
