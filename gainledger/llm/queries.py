@@ -18,6 +18,7 @@ from .jaccard_join import jaccard_groups
 from .language_id import fit_languages, held_out, identify
 from .mixing import mix
 from .near_vectors import near_vectors
+from .piece_encode import piece_digests
 from .sharding import shard_by_bytes
 from .suffix_dedup import remove_repeats
 
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 COSINE = 0.98
 VOCABULARY = vocabulary_path("byte_bpe_50k.json")
+PIECES = vocabulary_path("piece_bpe_32k.model")
 
 
 def op1_html_extract(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,6 +122,12 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_piece_encode(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's pieces, of the text decoded from them and of their source spans."""
+    docs = table(spark, folder, "documents")
+    return piece_digests(docs, PIECES).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extract": op1_html_extract,
     "op2_sharding": op2_sharding,
@@ -131,4 +139,5 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_piece_encode": op12_piece_encode,
 }

@@ -31,6 +31,7 @@ COLUMNS = {
     "op8_language_id": ["doc_id", "held_out", "lang_pred", "score"],
     "op9_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op10_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op12_piece_encode": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
