@@ -119,7 +119,8 @@ class Remembered:
         wanted = set(fragments)
         fresh = wanted.difference(self.now)
         if len(self.now) + len(fresh) > self.most:
-            self.older, self.now, fresh = self.now, {}, wanted
+            self.older, fresh = dict(self.now), wanted
+            self.now.clear()
         known = {f: self.older[f] for f in fresh if f in self.older}
         self.now.update(known)
         return list(fresh.difference(known))
