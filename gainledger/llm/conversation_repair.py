@@ -132,7 +132,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = zip(zip(*rows, strict=True), kinds, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in columns], names)
 
+    # Parts are numbered through the task, which may hold pieces of two conversations.
     now: OpenPart | None = None
+    head = 0  # the number of the conversation's first part here
     inner, before = False, None  # whether the conversation began in this task; the row before
     for batch in batches:
         kinds[0] = batch.column(0).type
@@ -140,10 +142,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for conv, turn, role, text, copies, fault in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if now is None or now.conv != conv:
                 if now is not None:
-                    closed.append(now.row(whole=inner and now.number == 0))
+                    closed.append(now.row(whole=inner and now.number == head))
                     size += now.bytes
-                    inner = True
-                now, before = OpenPart(conv, 0), None
+                    inner, head = True, now.number + 1
+                now, before = OpenPart(conv, head), None
             for _ in range(copies):
                 if now.full():
                     closed.append(now.row(whole=False))
@@ -330,7 +332,7 @@ def repair_digests(rows: DataFrame, work: Workspace) -> DataFrame:
     is taken by one task, part by part.
     """
     kind = rows.schema["conv"].dataType.simpleString()
-    turn = F.when(F.col("copies") > 0, F.col("turn"))
+    turn = F.when(F.col("copies") > 0, F.col("turn").cast("long"))
     gaps = F.max(turn) - F.min(turn) + 1 - F.countDistinct(turn)
     every = rows.groupBy("conv").agg(F.coalesce(gaps, F.lit(0)).cast("long").alias("gaps"))
 

@@ -12,6 +12,7 @@ from ..operators.store import Workspace
 from .bpe import encoding_digests
 from .chat_format import FOOTER, LOSS_ROLE, format_conversations, read_back
 from .common import table
+from .conversation_repair import damaged, repair_digests
 from .exact_dedup import exact_copies, normalised
 from .html_extract import extract, fit_extractor
 from .jaccard_join import jaccard_groups
@@ -21,6 +22,7 @@ from .near_vectors import near_vectors
 from .piece_encode import piece_digests
 from .sharding import shard_by_bytes
 from .suffix_dedup import remove_repeats
+from .token_alignment import align_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,12 +124,24 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged by the checksums of its rows, with its faults and its cheapest repair."""
+    turns = table(spark, folder, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", "text")
+    return repair_digests(damaged(turns), Workspace(spark)).withColumnRenamed("conv", "conv_id")
+
+
 def op12_piece_encode(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every document's pieces, of the text decoded from them and of their source spans."""
     docs = table(spark, folder, "documents")
     return piece_digests(docs, PIECES).withColumnRenamed("id", "doc_id")
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the groups and links of its tokens in two vocabularies."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return align_tokens(docs, Workspace(spark), VOCABULARY, PIECES).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extract": op1_html_extract,
     "op2_sharding": op2_sharding,
@@ -139,5 +153,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_piece_encode": op12_piece_encode,
+    "op13_token_alignment": op13_token_alignment,
 }

@@ -254,14 +254,14 @@ def align_tokens(
     stored = work.store(to_python(rows).mapInArrow(chunks, CHUNKS.format(id=kind)), "aligned_chunks")
 
     listed = stored.filter("links is not null").select(
-        "chunk", F.posexplode(F.arrays_zip("links", "holders")).alias("place", "link")
+        F.col("chunk").alias("lister"), F.posexplode(F.arrays_zip("links", "holders")).alias("place", "link")
     )
-    listed = listed.select("chunk", "place", F.col("link.links").alias("link"), F.col("link.holders").alias("holders"))
+    listed = listed.select("lister", "place", F.col("link.links").alias("link"), F.col("link.holders").alias("holders"))
     # At most one row for each id of B in a window.
     of_a = Window.partitionBy(F.expr(f"link div {base}"))
     counts = listed.groupBy("link").agg(F.sum("holders").alias("n"))
     counts = counts.select("link", "n", (F.col("n") == F.max("n").over(of_a)).alias("best"))
-    known = listed.select("chunk", "place", "link").join(counts, "link").select("chunk", "place", "n", "best")
+    known = listed.select("lister", "place", "link").join(counts, "link").select("lister", "place", "n", "best")
 
     def weigh(docs: pa.Table, known: pa.Table) -> pa.Table:
         n, best = np.zeros(known.num_rows, np.int64), np.zeros(known.num_rows, bool)
@@ -278,6 +278,6 @@ def align_tokens(
         return kept.append_column("groups_sha256", docs["groups_sha256"])
 
     documents = stored.filter("links is null").drop("links", "holders")
-    both = documents.groupBy("chunk").cogroup(known.groupBy("chunk"))
+    both = documents.groupBy("chunk").cogroup(known.groupBy("lister"))
     counted = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return both.applyInArrow(weigh, f"id {kind}, {counted}")
