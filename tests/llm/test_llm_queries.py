@@ -31,7 +31,9 @@ COLUMNS = {
     "op8_language_id": ["doc_id", "held_out", "lang_pred", "score"],
     "op9_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op10_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op11_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
     "op12_piece_encode": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op13_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 
 
@@ -44,7 +46,7 @@ def test_query_columns_and_rows(spark, folder, engine, name):
     result = QUERIES[name](spark, folder)
     assert result.columns[: len(COLUMNS[name])] == COLUMNS[name]
     result = result.toPandas()
-    source = {"op1": "pages", "op5": "embeddings", "op7": None}.get(name.split("_")[0], "documents")
+    source = {"op1": "pages", "op5": "embeddings", "op7": None, "op11": None}.get(name.split("_")[0], "documents")
     if source:
         key = {"pages": "page_id", "embeddings": "vec_id"}.get(source, "doc_id")
         wanted = engine.execute(f"SELECT {key} FROM {source} ORDER BY 1").fetchdf()[key].tolist()
