@@ -55,6 +55,18 @@ def test_tied_versions_must_agree(run):
         latest_accounts(tied).collect()
 
 
+@pytest.mark.parametrize("attributes", [latest_accounts, classes_at_end])
+def test_histories_are_filtered_before_they_are_grouped(run, attributes):
+    other = dict(sec_acct="A2", sec_acct_name="else"), dict(sec_acct_nbr="A2", clsf_3="1110")
+    inputs = run(intg_sec_acct=[ACCOUNT, ACCOUNT | other[0]], invst_clsf_his=[CLASS, CLASS | other[1]])
+    found = attributes(inputs, of_run=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    history = plan.index("Join LeftSemi")
+    assert "Aggregate" in plan[:history] and "Join" not in plan[:history]
+    wanted = {r.sec_acct for r in inputs.scope.accounts.collect()}
+    assert {r.sec_acct for r in found.collect()} == {"A1", "A2"} & wanted
+
+
 def test_overlapping_classes_must_agree(run):
     same = run(invst_clsf_his=[CLASS, CLASS | dict(s_date="2012-01-01")])
     assert rows(classes_at_end(same), "sec_acct", "clsf_3") == [("A1", "2810")]
