@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
 # How HTML nests. Without an end tag, RAW reaches to the end of the page, as HTML reads
@@ -112,6 +112,7 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes = [Node("html", -1, {})]
     blocks: list[tuple[int, str]] = []
     stack = [0]
+    open_at: dict[str, list[int]] = {}  # rising places on the stack of each tag's open elements
     run: list[str] = []
     links = 0
     ends: dict[str, list[tuple[int, int]]] = {}
@@ -131,10 +132,18 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 blocks.append((owner, text))
 
     def open_tag(tag: str) -> int | None:
-        return next((i for i in range(len(stack) - 1, 0, -1) if nodes[stack[i]].tag == tag), None)
+        places = open_at.get(tag)
+        return places[-1] if places else None
+
+    def push(tag: str, raw: str) -> None:
+        nodes.append(Node(tag, stack[-1], named_attributes(raw)))
+        open_at.setdefault(tag, []).append(len(stack))
+        stack.append(len(nodes) - 1)
 
     def close(depth: int) -> None:
         flush()
+        for number in stack[depth:]:
+            open_at[nodes[number].tag].pop()
         del stack[depth:]
 
     def finish(tag: str, begin: int) -> tuple[int, int]:
@@ -183,8 +192,7 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 if (place := open_tag("p")) is not None:
                     close(place)
                 flush()
-                nodes.append(Node("pre", stack[-1], named_attributes(mark[3])))
-                stack.append(len(nodes) - 1)
+                push("pre", mark[3])
                 until, after = finish(tag, at)
                 run.append(page[at:until])
                 at = after
@@ -210,17 +218,12 @@ def read_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 close(place)
             if tag in CLOSED_BY:
                 closed, holders = CLOSED_BY[tag]
-                place = None
-                for i in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[i]].tag in holders:
-                        break
-                    if nodes[stack[i]].tag in closed:
-                        place = i
-                if place is not None:
-                    close(place)
+                holder = max((open_tag(t) or 0 for t in holders), default=0)
+                inside = [p[k] for t in closed if (p := open_at.get(t)) and (k := bisect_right(p, holder)) < len(p)]
+                if inside:
+                    close(min(inside))
             flush()
-            nodes.append(Node(tag, stack[-1], named_attributes(mark[3])))
-            stack.append(len(nodes) - 1)
+            push(tag, mark[3])
     flush()
     return nodes, blocks
 

@@ -3,6 +3,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -52,6 +53,14 @@ def test_page_without_end_is_read_in_linear_time():
     assert len(blocks("<!--" * 20_000)) == 0
 
 
+@pytest.mark.parametrize("nested", ["<div>", "<table><tr><td>", "<ul><li>"])
+def test_nested_elements_are_read_in_linear_time(nested):
+    began = time.perf_counter()
+    nodes, blocks = read_page(nested * 200_000 + "deep")
+    assert time.perf_counter() - began < 20
+    assert len(blocks) == 1 and blocks[0][1] == "deep" and len(nodes) == 1 + nested.count("<") * 200_000
+
+
 def test_marginals_are_exact():
     draw = np.random.default_rng(0)
     page = "<body><div class='menu'><p>a</p></div><main><p>Text.</p><ul><li>b</li></ul></main></body>"
