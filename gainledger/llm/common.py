@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
+from ..operators.store import Workspace
 
 # Fixed values of the contracts.
 SPACES = " \t\n\x0b\x0c\r"
@@ -15,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 LOOKUP_ROWS = 200_000
 # Rows of text in an Arrow batch.
 TEXTS_PER_BATCH = 2_000
+# Rows of one file that a row number has room for.
+ROWS_PER_FILE = 1 << 36
 # Narrow rows that a task takes at least in steps over tables whose size is known.
 ROWS_PER_TASK = 20_000
 
@@ -41,6 +45,27 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(docs: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """`docs` with a number for each row in the new column `name`, the same whenever it is read.
+
+    Rows of `docs` as read from files (at most filtered) are named by their file and their place in
+    it, so nothing is copied: only the list of files is stored, and numbered in its own order. Rows
+    of any other table have no such place; that table is stored once with its numbers.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+        file, at = place.getField("file_path"), place.getField("row_index")
+        files = docs.select(file.alias("file")).distinct()
+    except AnalysisException:
+        return work.store(docs.withColumn(name, F.monotonically_increasing_id()), f"{name}_input")
+    files = files.coalesce(1).sortWithinPartitions("file").withColumn("nth", F.monotonically_increasing_id())
+    path, nth = free_name(docs, f"{name}_path"), free_name(docs, f"{name}_nth")
+    known = broadcast_if_small(work.store(files.select(F.col("file").alias(path), F.col("nth").alias(nth)), f"{name}_files"))
+    here, row = free_name(docs, f"{name}_here"), F.col(nth) * ROWS_PER_FILE
+    located = docs.withColumns({here: file, name: at}).join(known, F.col(here) == F.col(path))
+    return located.withColumn(name, row + F.col(name)).select(*[f"`{c}`" for c in docs.columns], name)
+
+
 def to_python(rows: DataFrame) -> DataFrame:
     """`rows`, to be handed to Python in batches of bounded size: rows of text are long.
 

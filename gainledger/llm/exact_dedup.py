@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import fits_broadcast
 from ..operators.store import Workspace
-from .common import LOOKUP_ROWS, SPACES, lookup, text_of
+from .common import LOOKUP_ROWS, SPACES, free_name, lookup, numbered, text_of
 
 # Characters of the normalised text that the second step hashes.
 PREFIX_CHARS = 64
@@ -30,6 +30,7 @@ def exact_copies(
     carry: Mapping[str, Column],
     id: str = "doc_id",
     text: str = "text",
+    row: Column | None = None,
 ) -> DataFrame:
     """One row per input row: the carried columns, keep_id, group_size, kept.
 
@@ -38,7 +39,8 @@ def exact_copies(
     Rows repeated with the same id and text are one group of which exactly one row is kept; null,
     empty and blank texts are equal to each other. An empty table gives no rows. `carry` names the
     output columns and how they are computed from `docs`; it may not use the names added here or
-    names that begin with an underscore.
+    names that begin with an underscore. `row` is a number of each row, where there is one already:
+    of rows equal in text and id the first by it stays.
 
     1. Rows are counted by the length and a prefix hash of their normalised text (narrow table).
     2. Lengths met once are dropped, then (length, prefix hash) met once.
@@ -68,6 +70,7 @@ def exact_copies(
         size.alias("_size"),
         prefix.alias("_prefix"),
         norm.alias("_norm"),
+        (F.monotonically_increasing_id() if row is None else row).alias("_row"),
     )
     if fits_broadcast(suspects, LOOKUP_ROWS):
         known = (F.col("_size") == F.col("_s")) & (F.col("_prefix") == F.col("_p"))
@@ -80,7 +83,7 @@ def exact_copies(
             "_id",
             "_chars",
             F.when(F.col("_suspect"), F.sha2(F.col("_norm"), 256)).alias("_hash"),
-            F.monotonically_increasing_id().alias("_row"),
+            "_row",
         ),
         "exact_refined",
     )
@@ -112,7 +115,15 @@ def exact_copies(
 
 
 def drop_exact_copies(docs: DataFrame, work: Workspace, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with their own columns only."""
-    carry = {f"c{i}": F.col(f"`{name}`") for i, name in enumerate(docs.columns)}
-    kept = exact_copies(docs, work, carry, id, text).filter("kept")
-    return kept.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
+    """The rows of `docs` that stay, with their own columns only.
+
+    Texts are neither copied nor moved: rows are told apart by a number, and the numbers of those
+    that go are counted and sent to the texts. `docs` is as read from files, or else copied once.
+    """
+    work = work.inner()
+    row, name = free_name(docs, "row_number"), free_name(docs, "gone")
+    rows = numbered(docs, work, row)
+    gone = exact_copies(rows, work, {"c": F.col(row)}, id, text, F.col(row)).filter(~F.col("kept"))
+    gone = lookup(work.store(gone.select(F.col("c").alias(name)), "exact_gone"))
+    work.remove(keep=[f"{row}_input", f"{row}_files", "exact_gone"])
+    return rows.join(gone, F.col(row) == F.col(name), "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
 from .bpe import small_batches
-from .common import free_name, lookup, tasks_for, to_python
+from .common import free_name, lookup, numbered, tasks_for, to_python
 from .components import connected
 
 SHINGLE_WORDS = 5
@@ -427,16 +427,17 @@ def drop_near_copies(docs: DataFrame, work: Workspace, id: str = "doc_id", text:
     """One row of `docs` for each group of near copies, with its own columns only.
 
     The row with the smallest id stays, null ids last; of rows with one id, the first stored. Rows
-    are told apart by a number, so what goes is a row and not all that share its id.
+    are told apart by a number, so what goes is a row and not all that share its id; `docs` is as
+    read from files, or else copied once.
     """
     work = work.inner()
     row, name = free_name(docs, "row_number"), free_name(docs, "gone")
-    numbered = work.store(docs.withColumn(row, F.monotonically_increasing_id()), "shingle_input")
+    rows = numbered(docs, work, row)
     # Structs are ordered by their fields.
     order = F.struct(F.col(id).isNull().alias("absent"), F.col(id).alias("id"), F.col(row).alias("row"))
-    keyed = numbered.select(order.alias("id"), F.col(text).alias("text"))
+    keyed = rows.select(order.alias("id"), F.col(text).alias("text"))
     groups = jaccard_groups(keyed, work, "id", "text")
     gone = groups.filter(F.col("id") != F.col("component_id")).select(F.col("id.row").alias(name))
     gone = lookup(work.store(gone, "shingle_gone"))
-    work.remove(keep=["shingle_input", "shingle_gone"])
-    return numbered.join(gone, F.col(row) == F.col(name), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    work.remove(keep=[f"{row}_input", f"{row}_files", "shingle_gone"])
+    return rows.join(gone, F.col(row) == F.col(name), "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.store import Workspace
-from .common import WORD, free_name, lookup, text_of
+from .common import WORD, free_name, lookup, numbered, text_of
 
 # Fixed values of the contract: weights by source in code point order, the part of all sizes that is
 # shared out, and how often a source or a document may be taken.
@@ -128,19 +128,31 @@ def mix(
 
 def mixed_rows(docs: DataFrame, work: Workspace, id: str, text: str, source: str, row: Column) -> DataFrame:
     """`mix` with `row`, which only decides between rows that are equal in id and text."""
-    rows = docs.select(
-        row.cast("long").alias("row"),
-        F.col(id).alias("id"),
-        F.col(source).alias("source"),
-        words(text).alias("size"),
-        F.xxhash64(F.col(id), F.col(text), F.lit(3)).alias("luck"),
-    )
+    return handed_out(*planned(docs, work, id, text, source, row), work)
+
+
+def sized(id: str, text: str, source: str, row: Column) -> dict[str, Column]:
+    """What the mix reads of a row. Rows of one source and size are taken in the order of their luck."""
+    return {
+        "row": row.cast("long"),
+        "id": F.col(id),
+        "source": F.col(source),
+        "size": words(text),
+        "luck": F.xxhash64(F.col(id), F.col(text), F.lit(3)),
+    }
+
+
+def planned(
+    docs: DataFrame, work: Workspace, id: str, text: str, source: str, row: Column
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Stored rows without their texts, whole copies and counts of each (source, size), and targets."""
+    rows = docs.select(*[how.alias(name) for name, how in sized(id, text, source, row).items()])
     rows = work.store(rows, "mix_sized")
     histogram = work.store(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix_histogram")
     sizes = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     targets = work.store(source_targets(sizes), "mix_targets")
     plan = mended(rounded(balanced(histogram, targets, work), work), work)
-    return handed_out(rows, plan, histogram, targets, work)
+    return rows, plan, histogram, targets
 
 
 def rounded(rated: DataFrame, work: Workspace) -> DataFrame:
@@ -179,20 +191,28 @@ def mended(plan: DataFrame, work: Workspace) -> DataFrame:
     return plan
 
 
-def handed_out(
-    rows: DataFrame, plan: DataFrame, histogram: DataFrame, targets: DataFrame, work: Workspace
-) -> DataFrame:
-    """Gives the copies of each (source, size) to its rows, in the order of a hash.
+def cell_of(luck: Column, cells: Column) -> Column:
+    """The cell of a row, of as many as its (source, size) has."""
+    return F.pmod(F.shiftright(luck, 20), cells)
+
+
+def dealt_to_cells(
+    rows: DataFrame, plan: DataFrame, histogram: DataFrame, work: Workspace
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """How the copies of each (source, size) are given to its rows, in the order of a hash.
 
     The rows of one (source, size) are ranked in cells of bounded size, so that a large group of
-    copies is no task of its own, and the cells follow each other by their counts.
+    copies is no task of its own, and the cells follow each other by their counts. Returns how many
+    cells each (source, size) of several has, the rows with their cell, and what begins where:
+    (s_source, s_size, s_cell, m rows, start, each, more).
     """
     cells = histogram.select(
         F.col("source").alias("h_source"), F.col("size").alias("h_size"), F.ceil(F.col("n") / ROWS_PER_CELL).alias("cells")
     ).filter("cells > 1")
+    cells = work.store(cells, "mix_cells")
     at = F.col("source").eqNullSafe(F.col("h_source")) & (F.col("size") == F.col("h_size"))
-    cell = F.pmod(F.shiftright("luck", 20), F.coalesce("cells", F.lit(1)))
-    celled = rows.join(lookup(work.store(cells, "mix_cells")), at, "left").withColumn("cell", cell)
+    cell = cell_of(F.col("luck"), F.coalesce("cells", F.lit(1)))
+    celled = rows.join(lookup(cells), at, "left").withColumn("cell", cell)
     counts = celled.groupBy("source", "size", "cell").agg(F.count("*").alias("m"))
     before = W.partitionBy("source", "size").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     given = plan.select(
@@ -208,22 +228,28 @@ def handed_out(
         F.col("source").alias("s_source"),
         F.col("size").alias("s_size"),
         F.col("cell").alias("s_cell"),
+        "m",
         "start",
         F.coalesce("each", F.lit(1)).alias("each"),
         F.coalesce("more", F.lit(0)).alias("more"),
     )
-    starts = lookup(work.store(starts, "mix_starts"))
+    return cells, celled, work.store(starts, "mix_starts")
+
+
+HERE = "source <=> s_source AND size = s_size AND cell = s_cell"
+
+
+def handed_out(
+    rows: DataFrame, plan: DataFrame, histogram: DataFrame, targets: DataFrame, work: Workspace
+) -> DataFrame:
+    """Every row with its copies and the figures of its source."""
+    _, celled, starts = dealt_to_cells(rows, plan, histogram, work)
     known = lookup(targets.withColumnRenamed("source", "t_source"))
-    here = (
-        F.col("source").eqNullSafe(F.col("s_source"))
-        & (F.col("size") == F.col("s_size"))
-        & (F.col("cell") == F.col("s_cell"))
-    )
     rank = F.row_number().over(W.partitionBy("source", "size", "cell").orderBy("luck", "id", "row"))
     copies = F.col("each") + (F.col("start") + F.col("rank") <= F.col("more")).cast("long")
     return (
         celled.withColumn("rank", rank)
-        .join(starts, here)
+        .join(lookup(starts), F.expr(HERE))
         .join(known, F.col("source").eqNullSafe(F.col("t_source")))
         .select("row", "id", "size", "source", "source_size", "target", copies.alias("copies"))
     )
@@ -232,13 +258,40 @@ def handed_out(
 def take_copies(
     docs: DataFrame, work: Workspace, id: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it, with their own columns only."""
+    """The rows of `docs`, each as often as the mix takes it, with their own columns only.
+
+    Texts are not moved to a decision per row. In the order in which a (source, size) is handed out
+    its first rows get one copy more than the others, so the row at that edge says it for all: the
+    edges, one row per (source, size), are sent to the texts. `docs` is as read from files, or else
+    copied once. Tables as `mix` takes them are taken here, the empty one too.
+    """
     work = work.inner()
-    row, times = free_name(docs, "row_number"), free_name(docs, "times")
-    numbered = work.store(docs.withColumn(row, F.monotonically_increasing_id()), "mix_input")
-    chosen = mixed_rows(numbered, work, id, text, source, F.col(row)).filter("copies > 0")
-    chosen = chosen.select(F.col("row").alias(row), F.sequence(F.lit(1), F.col("copies")).alias(times))
-    chosen = work.store(chosen, "mix_chosen")
-    work.remove(keep=["mix_input", "mix_chosen"])
+    row = free_name(docs, "row_number")
+    rows = numbered(docs, work, row)
+    read = sized(id, text, source, F.col(row))
+    cells, celled, starts = dealt_to_cells(*planned(rows, work, id, text, source, F.col(row))[:3], work)
+    want = F.col("more") - F.col("start")
+    edges = work.store(starts.filter((want > 0) & (want <= F.col("m"))).withColumn("want", want), "mix_edges")
+    place = F.row_number().over(W.partitionBy("source", "size", "cell").orderBy("luck", "id", "row"))
+    last = celled.join(lookup(edges), F.expr(HERE)).withColumn("place", place).filter("place = want")
+    last = last.select("s_source", "s_size", F.struct("cell", "luck", "id", "row").alias("edge"))
+    given = starts.groupBy("s_source", "s_size").agg(F.first("each").alias("each"))
+    sizes = given.alias("g").join(last.alias("l"), F.expr("g.s_source <=> l.s_source AND g.s_size = l.s_size"), "left")
+    sizes = sizes.select(F.col("g.s_source").alias("s_source"), F.col("g.s_size").alias("s_size"), "each", "edge")
+    sizes = sizes.join(cells, F.expr("s_source <=> h_source AND s_size = h_size"), "left")
+    name = free_name(docs, "given")
+    found = F.struct("each", F.coalesce("cells", F.lit(1)).alias("cells"), "edge").alias(name)
+    source_name, size_name = free_name(docs, "given_source"), free_name(docs, "given_size")
+    sizes = sizes.select(F.col("s_source").alias(source_name), F.col("s_size").alias(size_name), found)
+    sizes = lookup(work.store(sizes, "mix_given"))
+    work.remove(keep=[f"{row}_input", f"{row}_files", "mix_given"])
+
+    here = read["source"].eqNullSafe(F.col(source_name)) & (read["size"] == F.col(size_name))
+    cell = cell_of(read["luck"], F.col(f"{name}.cells"))
+    mine = F.struct(cell.alias("cell"), *[read[x].alias(x) for x in ("luck", "id", "row")])
+    more = F.coalesce(mine <= F.col(f"{name}.edge"), F.lit(False)).cast("long")
+    copies = F.col(f"{name}.each") + more
     columns = [f"`{c}`" for c in docs.columns]
-    return numbered.join(chosen, row).select(*columns, F.explode(times)).select(*columns)
+    times = free_name(docs, "times")
+    taken = rows.join(sizes, here).withColumn(times, copies).filter(F.col(times) > 0)
+    return taken.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*columns)
