@@ -7,6 +7,7 @@ are encoded independently (and remembered, as few are new) and their ids put end
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import heapq
 import json
@@ -317,7 +318,11 @@ def _encoded(docs: DataFrame, path: str, id: str, text: str, columns_of, kinds:
 
 
 def small_batches(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `most` bytes in a string column, so that buffers stay bounded."""
+    """Slices of a batch with about `most` bytes in a string column, so that buffers stay bounded.
+
+    What the work on a batch has freed goes back to the system after it: Python workers outlive
+    their tasks, and an executor's memory holds all of them.
+    """
     sizes = np.fromiter((len(x.as_buffer() or b"") if x.is_valid else 0 for x in batch.column(column)), np.int64, batch.num_rows)
     piece = np.cumsum(sizes) // most
     begin = 0
@@ -325,3 +330,12 @@ def small_batches(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> It
         end = int(np.searchsorted(piece, piece[begin], "right"))
         yield batch.slice(begin, end - begin)
         begin = end
+    give_back()
+
+
+def give_back() -> None:
+    """Hands memory that is free inside this process back to the system, where that can be asked for."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
