@@ -15,7 +15,7 @@ from ..functions.columns import LEDGER_AMOUNT, LEDGER_TAX, LEDGER_VOLUME, securi
 from ..operators.sizing import broadcast_if_small
 from ..operators.store import Workspace
 from ..operators.temporal import held_on
-from ..sources.parquet_tables import MONTH, month_of
+from ..sources.parquet_tables import FROM_YEAR, MONTH, TO_MONTH, month_of
 
 EXCHANGE_0 = "0"
 EXCHANGE_1 = "1"
@@ -133,6 +133,19 @@ def period_rows(rows: DataFrame, day: str, first: Column, last: Column) -> DataF
     return rows
 
 
+def rows_in_force(rows: DataFrame, first: Column, last: Column, on_end: bool = False) -> DataFrame:
+    """Rows valid on any day from `first` to `last`, by folder of both ends where there are any.
+
+    The end of a row does not count as a day of it, but for `on_end`.
+    """
+    ended = F.col("e_date") >= first if on_end else F.col("e_date") > first
+    rows = rows.filter((F.col("s_date") <= last) & ended)
+    if TO_MONTH in rows.columns:
+        rows = rows.filter((F.col(TO_MONTH) >= month_of(first)) & (F.col(FROM_YEAR) <= F.year(last)))
+        rows = rows.drop(TO_MONTH, FROM_YEAR)
+    return rows
+
+
 def period_quotes(tables: Tables, scope: Scope) -> DataFrame:
     quotes = (
         period_rows(tables.table("sec_quot"), "trad_date", F.lit(scope.start), F.lit(scope.end))
@@ -149,10 +162,8 @@ def scope_holdings(tables: Tables, scope: Scope, asks: DataFrame) -> DataFrame:
     shuffled row by row.
     """
     wanted = broadcast_if_small(asks)
-    holdings = (
-        tables.table("hold_his")
-        .filter((F.col("s_date") <= F.lit(scope.end)) & (F.col("e_date") > F.lit(scope.start)))
-        .select("mkt_sort", "sec_acct_nbr", "sec_cde", "td_end_hold_vol", "s_date", "e_date")
+    holdings = rows_in_force(tables.table("hold_his"), F.lit(scope.start), F.lit(scope.end)).select(
+        "mkt_sort", "sec_acct_nbr", "sec_cde", "td_end_hold_vol", "s_date", "e_date"
     )
     return scope.keep_accounts(held_on(holdings, wanted))
 

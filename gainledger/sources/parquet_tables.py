@@ -10,7 +10,9 @@ from ..functions.columns import right_trimmed
 from .schemas import BUSINESS_DATE, SOURCES
 
 MONTH = "data_month"  # year x 100 + month of the business date
-BY_MONTH = set(BUSINESS_DATE) - {"hold_his"}
+BY_VALIDITY = {"hold_his"}  # rows in force over a period, not on a day
+BY_MONTH = set(BUSINESS_DATE) - BY_VALIDITY
+FROM_YEAR, TO_MONTH = "from_year", "to_month"  # of the first day in force and of the day it ends
 DEFAULT_CUTOVER = "2017-05-01"  # first day of the new generation of exchange-1 changes
 
 
@@ -18,6 +20,11 @@ def month_of(day: Column) -> Column:
     return F.year(day) * 100 + F.month(day)
 
 
+def folders_of(name: str) -> list[str]:
+    """The columns that a source table has folders for."""
+    return [MONTH] if name in BY_MONTH else [TO_MONTH, FROM_YEAR] if name in BY_VALIDITY else []
+
+
 class ParquetTables:
     """Tables read by name with their declared schema; nothing is inferred."""
 
@@ -27,10 +34,9 @@ class ParquetTables:
         self.cutover = cutover
 
     def table(self, name: str) -> DataFrame:
-        """A table as declared; tables of dated rows also have the month they are laid out by."""
+        """A table as declared, and the columns it is laid out by: month, or year and month in force."""
         fields = list(SOURCES[name].fields)
-        if name in BY_MONTH:
-            fields.append(T.StructField(MONTH, T.IntegerType()))
+        fields += [T.StructField(folder, T.IntegerType()) for folder in folders_of(name)]
         return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/{name}")
 
 
@@ -45,17 +51,24 @@ def ingest(raw: DataFrame, root: str, name: str) -> None:
 
     Dated rows get a folder for each month. They are rebalanced by month first, so that a month
     has few files and a very busy one is still written by many tasks, and sorted by day inside
-    each task, so that the statistics of the row groups skip other days. Holdings are valid over
-    periods instead; they are only sorted.
+    each task, so that the statistics of the row groups skip other days.
+
+    Holdings are in force over periods. They get a folder for the month they end in (rows still in
+    force share that of the open end) and below it for the year they begin in: a period then leaves
+    out all that ended before it and all that began after its last year. Months on both sides would
+    square the number of folders; within a year, rows are sorted by their first day instead.
     """
     table = normalised(raw, name)
-    day = BUSINESS_DATE.get(name)
+    day, folders = BUSINESS_DATE.get(name), folders_of(name)
     if name in BY_MONTH:
-        table = table.withColumn(MONTH, month_of(F.col(day))).hint("rebalance", MONTH)
-        table = table.sortWithinPartitions(MONTH, day)
-    elif day:
-        table = table.sortWithinPartitions(day)
+        table = table.withColumn(MONTH, month_of(F.col(day)))
+    elif name in BY_VALIDITY:
+        table = table.withColumns({TO_MONTH: month_of(F.col("e_date")), FROM_YEAR: F.year(day)})
+    if folders:
+        table = table.hint("rebalance", *folders)
+    if day:
+        table = table.sortWithinPartitions(*folders, day)
     writer = table.write.mode("overwrite")
-    if name in BY_MONTH:
-        writer = writer.partitionBy(MONTH)
+    if folders:
+        writer = writer.partitionBy(*folders)
     writer.parquet(f"{root.rstrip('/')}/{name}")

@@ -194,6 +194,33 @@ def test_period_selects_month_folders(spark, tmp_path):
     assert len(list((tmp_path / "sec_quot").glob("data_month=*"))) == 12
 
 
+HELD = "mkt_sort string, sec_acct_nbr string, cstd_unit_id string, sec_cde string, cap_type string, td_end_hold_vol long, s_date string, e_date string"
+
+
+def test_holdings_are_read_by_the_period_they_are_in_force(spark, tmp_path):
+    from datetime import date
+
+    from gainledger.plans.flows import rows_in_force
+
+    days = ["2014-12-31", "2015-01-01", "2015-06-15", "2016-03-31", "2016-04-01", "2016-04-20", "2017-01-01", "3000-12-31"]
+    spells = [(a, b) for i, a in enumerate(days) for b in days[i + 1 :]] + [(None, "2016-05-01"), ("2016-01-01", None)]
+    raw = spark.createDataFrame([("0", f"A{n}", "U", "600000 ", "PT", n, a, b) for n, (a, b) in enumerate(spells)], HELD)
+    ingest(raw, str(tmp_path), "hold_his")
+    table = ParquetTables(spark, str(tmp_path)).table("hold_his")
+    assert table.count() == len(spells)
+    assert (tmp_path / "hold_his/to_month=300012/from_year=2016").is_dir()
+    for first, last in (("2015-01-01", "2015-01-01"), ("2016-04-01", "2016-04-20"), ("2016-03-31", "2017-06-01"), ("2018-01-01", "2018-02-01")):
+        for on_end in (False, True):
+            rows = rows_in_force(table, F.lit(date.fromisoformat(first)), F.lit(date.fromisoformat(last)), on_end)
+            assert rows.columns == SOURCES["hold_his"].names
+            wanted = [n for n, (a, b) in enumerate(spells) if a and b and a <= last and (b > first or on_end and b == first)]
+            assert sorted(int(r.td_end_hold_vol) for r in rows.collect()) == wanted
+    # The last period meets open rows only: folders that ended before it are neither listed nor read.
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(to_month" in plan and "from_year" in plan
+    assert {f.split("to_month=")[1].split("/")[0] for f in rows.select("_metadata.file_path").distinct().toPandas()["file_path"]} == {"300012"}
+
+
 def test_busy_month_is_written_by_many_tasks(spark, tmp_path):
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
     for name, value in settings.items():
