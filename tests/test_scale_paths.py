@@ -142,3 +142,27 @@ def test_gap_without_broadcast(run, spark, no_broadcast):
 
     inputs = run(hold_his=held(100, 250), sec_quot=QUOTES)
     assert measures(holding_gap(inputs, flows_of(spark, 100), "0")) == {("A1", "600000"): (50, 0, 600, 0, 0)}
+
+
+def test_large_lookups_are_hashed_and_nothing_is_sorted(spark):
+    keys = spark.range(11).withColumnRenamed("id", "k")
+    facts = spark.range(100).selectExpr("id % 20 AS k")
+    plan = facts.join(broadcast_if_small(keys, 10), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=shuffle_hash" in plan
+
+
+def test_boundary_values_sum_a_holding_once(run):
+    """One row per security with both ends; the same from the holdings and from a run's stored ones."""
+    from gainledger.plans.valuation import boundary_asks, boundary_holdings, boundary_values, run_bounds
+
+    later = HOLDING | dict(sec_acct_nbr="A2", td_end_hold_vol=None, s_date="2016-01-01", e_date="2016-07-01")
+    once = HOLDING | dict(sec_cde="600001", td_end_hold_vol=7)
+    one_day = [quote("2016-05-03", 3, "600001")]
+    inputs = run(accounts=("A1", "A2"), codes0=("600000", "600001"), hold_his=[HOLDING, later, once], sec_quot=QUOTES + one_day)
+    plan = boundary_values(inputs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ask_date" not in plan and plan.count("td_end_hold_vol") > 0
+    stored = replace(inputs, shared={"held": inputs.held_on(boundary_asks(run_bounds(inputs)))})
+    rows = boundary_holdings(inputs)
+    assert rows.dtypes == boundary_holdings(stored).dtypes
+    assert sorted(map(str, rows.collect())) == sorted(map(str, boundary_holdings(stored).collect()))
+    assert {r.sec_cde for r in rows.collect()} == {"600000", "600001"}
