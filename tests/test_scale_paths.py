@@ -166,3 +166,17 @@ def test_boundary_values_sum_a_holding_once(run):
     assert rows.dtypes == boundary_holdings(stored).dtypes
     assert sorted(map(str, rows.collect())) == sorted(map(str, boundary_holdings(stored).collect()))
     assert {r.sec_cde for r in rows.collect()} == {"600000", "600001"}
+
+
+def test_merged_tasks_are_bounded_and_a_lower_bound_is_kept(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        sizing.bound_tasks(spark)
+        assert spark.conf.get(name) == f"{sizing.TASK_BYTES}b" and sizing.TASK_BYTES <= 16 << 20
+        spark.conf.set(name, "8m")
+        sizing.bound_tasks(spark)
+        assert spark.conf.get(name) == "8m"
+    finally:
+        spark.conf.set(name, before)
