@@ -180,3 +180,25 @@ def test_merged_tasks_are_bounded_and_a_lower_bound_is_kept(spark):
         assert spark.conf.get(name) == "8m"
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_run_makes_its_lines_and_its_boundary_once(spark):
+    from gainledger import queries
+    from gainledger.plans.valuation import boundary_values
+
+    inputs, _ = queries._with_ledger(spark, "/root/testdata/sf0.001", ["1"])
+    for name in ("clr_stm_dtl", "s_stk_chg", "hold_his", "sec_quot"):
+        files = inputs.table(name).inputFiles()
+        assert files and not any("lineitem" in f for f in files)
+    plan = boundary_values(inputs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
+def test_report_rows_meet_their_accounts_without_a_shuffle(run, spark):
+    from test_report import ACCOUNT
+    from test_rules import flows_of
+
+    inputs = run(intg_sec_acct=[ACCOUNT | dict(sec_acct="A1")], hold_his=[HOLDING], sec_quot=QUOTES)
+    plan = report.final_report(inputs, flows_of(spark, 100), 0)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("is_flow")]
+    assert above.count("Join") == 2 and above.count("rightHint=(strategy=broadcast)") >= 1
