@@ -2,19 +2,20 @@
 
 A byte pair that occurs inside no token of the vocabulary can never be merged across, so it marks a
 certain cut. Texts are cut there and where the pre-tokeniser's pattern ends a match; the fragments
-are encoded independently (and remembered, as few are new) and their ids put end to end.
+are encoded independently (all new ones of a chunk at once, and remembered, as few are new) and their
+ids put end to end.
 """
 
 from __future__ import annotations
 
 import ctypes
 import hashlib
-import heapq
 import json
 import re
 import struct
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,17 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import to_python
+from .pair_merging import PairMerger, Remembered
 
 # White space as the pattern means it, and the endings that follow an apostrophe.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
 
-# Characters handled at once, fragments remembered (and as many of the time before), and the fragment
-# length from which a heap pays.
+# Characters handled at once, and fragments remembered (and as many of the time before).
 CHUNK_CHARS = 1 << 18
 REMEMBERED = 200_000
-LONG_FRAGMENT = 48
 
 
 def byte_letters() -> dict[str, int]:
@@ -74,11 +74,12 @@ class Vocabulary:
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = model["vocab"][letter]
-        self.merges = {}
+        merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             whole = (model["vocab"][left], model["vocab"][right])
-            self.merges.setdefault(whole, (rank, model["vocab"][left + right]))
+            merges.setdefault(whole, (rank, model["vocab"][left + right]))
+        self.merger = PairMerger(merges, self.size)
         self.joined = np.zeros(1 << 16, bool)  # byte pairs met inside some token
         for token in as_bytes.values():
             for a, b in zip(token, token[1:], strict=False):
@@ -99,55 +100,19 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        encoder = self
-
-        class Remembered(dict):
-            def __missing__(self, fragment: bytes) -> bytes:
-                if len(self) >= REMEMBERED:  # fragments that are met again are kept
-                    encoder.older = dict(self)
-                    self.clear()
-                self[fragment] = packed = encoder.older.get(fragment) or encoder.merge(fragment)
-                return packed
-
-        self.older: dict[bytes, bytes] = {}
-        self.remembered = Remembered()
-
-    def merge(self, fragment: bytes) -> bytes:
-        """Ids of one fragment as little-endian 32-bit integers: lowest rank first, leftmost first."""
-        ids = [self.v.byte_ids[b] for b in fragment]
-        ids = self._merge_long(ids) if len(ids) > LONG_FRAGMENT else self._merge_short(ids)
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        merges = self.v.merges
-        while len(ids) > 1:
-            found = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in merges]
-            if not found:
-                break
-            i = min(found)[1]
-            ids[i : i + 2] = [merges[ids[i], ids[i + 1]][1]]
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        merges, n = self.v.merges, len(ids)
-        after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in merges]
-        heap = [(rank, i, p, new) for rank, new, i, p in heap]
-        heapq.heapify(heap)
-        while heap:
-            _, i, pair, new = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != pair[0] or j >= n or ids[j] != pair[1]:
-                continue  # one of the two has been merged meanwhile
-            ids[i], ids[j] = new, -1
-            after[i] = k = after[j]
-            if k < n:
-                ahead[k] = i
-            for a, b in ((ahead[i], i), (i, k)):
-                if a >= 0 and b < n and (p := (ids[a], ids[b])) in merges:
-                    rank, made = merges[p]
-                    heapq.heappush(heap, (rank, a, p, made))
-        return [x for x in ids if x >= 0]
+        self.letters = np.array(vocabulary.byte_ids, np.int32)
+        self.memory = Remembered(REMEMBERED)
+
+    def _learn(self, fragments: Iterator[bytes]) -> None:
+        """Merges the fragments that are new, all at once, and remembers their ids as little-endian 32-bit integers."""
+        new = self.memory.unknown(fragments)
+        if not new:
+            return
+        symbols = self.letters[np.frombuffer(b"".join(new), np.uint8)]
+        merged, sizes = self.v.merger.merge(symbols, np.fromiter(map(len, new), np.int64, len(new)))
+        packed, ends = merged.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        ids = (packed[a:b] for a, b in zip([0, *ends], ends, strict=False))
+        self.memory.now.update(zip(new, ids, strict=True))
 
     def boundaries(self, points: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Where the pattern begins a match, for texts that are each followed by a mark of class END.
@@ -241,8 +206,10 @@ class Encoder:
 
         def flush() -> None:
             nonlocal chars
-            get = self.remembered.__getitem__
-            for (owner, place, _), found in zip(todo, self.fragments([t for *_, t in todo]), strict=True):
+            parts = list(self.fragments([t for *_, t in todo]))
+            self._learn(chain.from_iterable(parts))
+            get = self.memory.now.__getitem__
+            for (owner, place, _), found in zip(todo, parts, strict=True):
                 out[owner][place] = b"".join(map(get, found))
             todo.clear()
             chars = 0

@@ -8,7 +8,7 @@ all fragments, and there are as many rounds as the longest chain of merges.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 
@@ -114,7 +114,7 @@ class Remembered:
         self.now: dict = {}
         self.older: dict = {}
 
-    def unknown(self, fragments: list) -> list:
+    def unknown(self, fragments: Iterable) -> list:
         """The different fragments whose ids are not known; all others can then be looked up in `now`."""
         wanted = set(fragments)
         fresh = wanted.difference(self.now)

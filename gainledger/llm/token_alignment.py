@@ -25,7 +25,7 @@ from ..operators.store import Workspace
 from .bpe import Encoder, Vocabulary, small_batches
 from .common import to_python
 from .merge_path import align
-from .pair_merging import PairMerger, Remembered
+from .pair_merging import Remembered
 from .piece_encode import PieceEncoder, PieceVocabulary
 
 # Fragments that the byte-level encoder remembers, and bytes of text in a chunk.
@@ -40,32 +40,15 @@ DIGESTS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string
 
 
 class PlainEncoder(Encoder):
-    """A byte-level encoder to which the strings of special tokens are plain text.
+    """A byte-level encoder to which the strings of special tokens are plain text."""
 
-    The new fragments of a batch are merged all at once.
-    """
-
-    def __init__(self, vocabulary: Vocabulary, merger: PairMerger):
+    def __init__(self, vocabulary: Vocabulary):
         super().__init__(vocabulary)
-        self.merger = merger
-        self.letters = np.array(vocabulary.byte_ids, np.int32)
         self.memory = Remembered(REMEMBERED)
-        self.remembered = self.memory.now
 
     def pieces(self, text: str) -> Iterator[str]:
         yield from self._cut(text)
 
-    def fragments(self, pieces: list[str]) -> Iterator[list[bytes]]:
-        found = list(super().fragments(pieces))
-        new = self.memory.unknown([f for part in found for f in part])
-        if new:
-            symbols = self.letters[np.frombuffer(b"".join(new), np.uint8)]
-            merged, sizes = self.merger.merge(symbols, np.fromiter(map(len, new), np.int64, len(new)))
-            packed, ends = merged.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
-            begins = [0, *ends[:-1]]
-            self.remembered.update(zip(new, [packed[a:b] for a, b in zip(begins, ends, strict=True)], strict=True))
-        yield from found
-
 
 @dataclass
 class Vocabularies:
@@ -73,12 +56,10 @@ class Vocabularies:
 
     a: Vocabulary
     b: PieceVocabulary
-    merger: PairMerger
 
     @classmethod
     def read(cls, path_a: str, path_b: str) -> Vocabularies:
-        a = Vocabulary(path_a)
-        return cls(a, PieceVocabulary(path_b), PairMerger(a.merges, a.size))
+        return cls(Vocabulary(path_a), PieceVocabulary(path_b))
 
 
 @dataclass
@@ -95,7 +76,7 @@ class Aligner:
     """Encodes and aligns texts; lives in one task."""
 
     def __init__(self, v: Vocabularies):
-        self.a, self.b = PlainEncoder(v.a, v.merger), PieceEncoder(v.b)
+        self.a, self.b = PlainEncoder(v.a), PieceEncoder(v.b)
         self.bytes_a, self.bytes_b = v.a.tokens, v.b.token_bytes
         self.width_a = np.array([len(t) for t in self.bytes_a])
         self.width_b = np.array([len(t) for t in self.bytes_b])

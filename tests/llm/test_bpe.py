@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 import gainledger.llm.bpe as bpe
 from gainledger.llm.bpe import Encoder, Vocabulary, encode_documents, encoding_digests, small_batches
+from gainledger.llm.pair_merging import PairMerger
 
 FILE = path("byte_bpe_50k.json")
 PARTS = [
@@ -56,6 +57,18 @@ def test_forgetting_changes_nothing(library, monkeypatch):
     check(Encoder(Vocabulary(FILE)), library, ["one two three four five six seven one two"])
 
 
+def test_new_fragments_of_a_chunk_are_merged_at_once(library, monkeypatch):
+    merge, calls = PairMerger.merge, []
+    monkeypatch.setattr(PairMerger, "merge", lambda *a: calls.append(len(a[2])) or merge(*a))
+    encoder = Encoder(Vocabulary(FILE))
+    pick = random.Random(2)
+    words = ["".join(pick.choices("aehinorst", k=pick.choice([3, 9, 47, 49, 63, 64, 65, 90]))) for _ in range(2000)]
+    check(encoder, library, [" ".join(words), " ".join(words[::-1]), "a" * 64 + " " + "ab" * 33])
+    assert len(calls) == 1 and calls[0] > 1900
+    check(encoder, library, [" ".join(words)])
+    assert len(calls) == 1
+
+
 def test_documents(documents, library):
     rows = [(1, "Hello there"), (2, None), (2, ""), (None, "x" * 100_000)]
     docs = documents(*rows)
