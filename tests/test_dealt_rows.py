@@ -12,7 +12,7 @@ from conftest import measures
 from test_rules import CLEARING, QUOTES, TRANSFER, flows_of, held, quote
 
 from gainledger import oracle, queries
-from gainledger.operators.sizing import shuffle_less
+from gainledger.operators.sizing import INSTRUMENTS_A_TASK, shuffle_less, split_shuffles
 from gainledger.operators.store import Workspace
 from gainledger.plans import batch, flows, report, sse, szse
 from gainledger.plans.valuation import holding_gap
@@ -116,7 +116,7 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before, setting = shuffle_files(spark), spark.conf.get(name)
     rows = spark.range(10_000).selectExpr("id % 5000 AS k").groupBy("k").count()
-    stored = Workspace(spark).store(rows, "counts")
+    stored = Workspace(spark, tidy=True).store(rows, "counts")
     for _ in range(100):
         left = shuffle_files(spark) - before
         if not left:
@@ -143,3 +143,29 @@ def test_changes_dealt_by_security(run, many):
 
     inputs = run(s_shdr_hld_chg=[OLD | dict(chg_cde="A0A", chg_vol=70), OLD | dict(chg_cde="A0A", chg_vol=-30)])
     assert measures(szse.transfers(by_security(inputs))) == {("A1", "000001"): (70, 30, 0, 0, 0)}
+
+
+def test_rules_and_boundary_read_their_own_holdings(spark):
+    """A day asked for twice has both marks; held days are split by what asked for them."""
+    days = "exch string, sec_cde string, ask_date string"
+    events = spark.createDataFrame([("0", "600000", "2016-05-03"), ("0", "600000", "2016-06-01")], days)
+    bounds = spark.createDataFrame([("0", "600000", "2016-05-03"), ("0", "600000", "2017-04-01")], days)
+    asks = batch.marked_asks(events, bounds)
+    found = {r.ask_date: (r.at_event, r.at_bound) for r in asks.collect()}
+    assert found == {"2016-05-03": (True, True), "2016-06-01": (True, False), "2017-04-01": (False, True)}
+    assert flows.marked(asks, flows.AT_EVENT).columns == ["exch", "sec_cde", "ask_date"]
+    assert {r.ask_date for r in flows.marked(asks, flows.AT_BOUND).collect()} == {"2016-05-03", "2017-04-01"}
+    assert flows.marked(events, flows.AT_EVENT) is events
+
+
+def test_shuffles_are_split_by_the_number_of_instruments(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        split_shuffles(spark, 4 * INSTRUMENTS_A_TASK)
+        assert spark.conf.get(name, None) is None  # as many parts as the session has
+        split_shuffles(spark, 20 * INSTRUMENTS_A_TASK + 1)
+        assert spark.conf.get(name) == "21"
+        split_shuffles(spark, 5 * INSTRUMENTS_A_TASK)
+        assert spark.conf.get(name) == "21"
+    finally:
+        spark.conf.unset(name)
